@@ -2,7 +2,8 @@
 
 A document is the mean of learned vectors, one for each occurrence of a word and of
 each of its character n-grams (of ``<word>``, in bytes), hashed into a fixed number of
-buckets; a linear layer and a softmax give the class probabilities. Vectors and layer
+buckets. A word that repeats the one before it adds the features of one fixed mark, the
+word bigram of which only the repetition is kept. A linear layer and a softmax give the class probabilities. Vectors and layer
 are trained together by stochastic gradient descent in numpy.
 
 Training reads a bounded sample: the ``MAX_TRAIN`` labelled documents with the lowest
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,7 @@ FOLDS, THRESHOLD = 5, 0.3
 BUCKETS, DIM, MIN_N, MAX_N = 1 << 17, 8, 3, 4
 MAX_TRAIN, EPOCHS, RATE = 2500, 6, 2.0
 WORDS_KEPT, KEPT_BYTES = 300_000, 48
+_AGAIN = b"\n=="  # no word holds white space
 
 
 def word_features(word: bytes) -> list[int]:
@@ -49,15 +52,13 @@ def word_features(word: bytes) -> list[int]:
 
 def counts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a text, ascending, and how often each occurs."""
-    total = np.zeros(0, np.int64)
-    parts = []
-    for word, n in Counter(text.split()).items():
-        parts.append(np.repeat(np.array(word_features(word), np.int64), n) if n < 8 else np.array(word_features(word), np.int64) + (n << 32))
-    if not parts:
-        return total.astype(np.int32), total.astype(np.int32)
-    x = np.concatenate(parts)
-    ids, at = np.unique(x & 0xFFFFFFFF, return_inverse=True)
-    return ids.astype(np.int32), np.bincount(at, np.maximum(x >> 32, 1)).astype(np.int32)
+    words = text.split()
+    total: Counter = Counter()
+    for word, n in (Counter(words) + Counter({_AGAIN: sum(map(eq, words, words[1:]))})).items():
+        for f in word_features(word):
+            total[f] += n
+    order = sorted(total)
+    return np.array(order, np.int32), np.array([total[f] for f in order], np.int32)
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> DataFrame:
@@ -131,11 +132,13 @@ def _scorer(weights: np.ndarray, bias: float):
         f = word_features(word)
         return complex(float(weights[f].sum()), len(f))
 
-    known = Memo(weigh, WORDS_KEPT)
+    known, again = Memo(weigh, WORDS_KEPT), weigh(_AGAIN)
 
     def score(text: bytes) -> float:
         # the real part sums weights, the imaginary part counts features
-        total = sum([known[w] if len(w) <= KEPT_BYTES else weigh(w) for w in text.split()])
+        words = text.split()
+        total = sum([known[w] if len(w) <= KEPT_BYTES else weigh(w) for w in words])
+        total += sum(map(eq, words, words[1:])) * again
         z = bias + (total.real / total.imag if total else 0.0)
         return float(1 / (1 + np.exp(-z)))
 

@@ -8,8 +8,9 @@ budget is found, and only that bucket is opened by the next bits, level by level
 until single hash values are left. Rows are then filtered by comparison; they are
 never sorted.
 
-The document at the boundary is taken if that brings the source nearer to its
-budget, so a source misses its target by at most half of one document.
+The document at the boundary does not fit and stays out. What is left of the budget is
+given to further passes of the same kind behind the boundary, each among documents no
+larger than its rest, so a source misses its target by a small part of one document.
 
 Defined cases. Null text: size 0. Null source: a source of its own, last in
 order. Null doc_id: hashed as the empty text. Rows of one doc_id have one hash and
@@ -19,25 +20,29 @@ Other columns pass through ``mixed`` and are ignored by ``plan``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W
+from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from .common import WORD, checkpointed, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
-HASH_BITS, LEVEL_BITS = 60, 12
+HASH_BITS, LEVEL_BITS, PASSES = 60, 12, 3
+
+
+def _hash(doc_id: Column) -> Column:
+    hex_ = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+    return F.conv(F.substring(hex_, 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def _size(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def sizes(documents: DataFrame) -> DataFrame:
     """doc_id, source, size, h for every row; the only pass over texts."""
     return documents.select(
-        "doc_id",
-        F.col("source").cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10)
-        .cast("long")
-        .alias("h"),
+        "doc_id", F.col("source").cast("string").alias("source"), _size(F.col("text")).alias("size"), _hash(F.col("doc_id")).alias("h")
     )
 
 
@@ -80,48 +85,58 @@ def targets(sized: DataFrame, weights: tuple = WEIGHTS, max_repeat: int = MAX_RE
 
 
 def thresholds(sized: DataFrame, goals: DataFrame) -> DataFrame:
-    """``goals`` with ``threshold``: the largest hash that is taken once more (-1: none)."""
-    state = goals.withColumn("prefix", F.lit(0).cast("long")).withColumn("before", F.lit(0).cast("long"))
-    state = state.withColumn("threshold", F.when(F.col("budget") <= 0, F.lit(-1).cast("long")))
+    """source, copies, target, source_size and the nested thresholds: t1..tn (largest hash taken; -1: none)
+    and r1..rn (the budget each had, in words).
+
+    Pass 1 takes hashes in order up to the last that fits the budget. What is left of the
+    budget is smaller than the next document; pass 2 goes on behind it, among documents no
+    larger than that rest, and so forth.
+    """
+    state = goals.withColumn("r1", F.floor("budget").cast("long"))
+    for k in range(1, PASSES + 1):
+        state = _one_pass(sized, state, k)
+    return state
+
+
+def _candidates(k: int):
+    """Rows open to pass k: behind the threshold of the pass before, and no larger than the rest."""
+    return (F.col("h") > (F.col(f"t{k - 1}") if k > 1 else F.lit(-1))) & (F.col("size") <= F.col(f"r{k}"))
+
+
+def _one_pass(sized: DataFrame, state: DataFrame, k: int) -> DataFrame:
+    low = F.lit(-1).cast("long") if k == 1 else F.col(f"t{k - 1}")
+    state = state.withColumn("prefix", F.lit(0).cast("long")).withColumn("before", F.lit(0).cast("long"))
+    state = checkpointed(state.withColumn("threshold", F.when(F.col(f"r{k}") <= 0, low)))
     columns = state.columns
-    state = checkpointed(state)
     for shift in range(HASH_BITS - LEVEL_BITS, -1, -LEVEL_BITS):
-        open_ = state.filter("threshold IS NULL").select(
-            F.col("source").alias("_s"), F.col("prefix").alias("_p"), "before", "budget"
-        )
-        at = F.shiftright(F.col("h"), shift)
+        open_ = state.filter("threshold IS NULL").withColumnRenamed("source", "_s")
+        same = F.col("source").eqNullSafe(F.col("_s"))
+        wanted = same & _candidates(k)
+        if shift < HASH_BITS - LEVEL_BITS:
+            wanted &= F.shiftright(F.col("h"), shift + LEVEL_BITS) == F.col("prefix")
+        keys = open_.select("_s", "prefix", *[f"t{i}" for i in range(1, k)], f"r{k}")
         hist = (
-            sized.withColumn("bucket", at)
-            .groupBy("source", "bucket")
-            .agg(F.sum("size").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi"))
-            if shift == HASH_BITS - LEVEL_BITS
-            else sized.join(
-                open_.select("_s", "_p"),
-                F.col("source").eqNullSafe(F.col("_s")) & (F.shiftright(F.col("h"), shift + LEVEL_BITS) == F.col("_p")),
-            )
-            .withColumn("bucket", at)
-            .groupBy("source", "bucket")
+            sized.join(keys, wanted)
+            .groupBy("source", F.shiftright(F.col("h"), shift).alias("bucket"))
             .agg(F.sum("size").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi"))
         )
         run = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
         passed = (
             hist.withColumn("run", F.coalesce(F.sum("n").over(run), F.lit(0)))
-            .join(open_, F.col("source").eqNullSafe(F.col("_s")))
+            .join(open_.select("_s", "before", f"r{k}"), same)
             .withColumn("b0", F.col("before") + F.col("run"))
-            .filter((F.col("b0") <= F.col("budget")) & (F.col("b0") + F.col("n") > F.col("budget")))
+            .filter((F.col("b0") <= F.col(f"r{k}")) & (F.col("b0") + F.col("n") > F.col(f"r{k}")))
             .groupBy("source")
-            .agg(F.min(F.struct("bucket", "b0", "n", "lo", "hi")).alias("x"))
+            .agg(F.min(F.struct("bucket", "b0", "lo", "hi")).alias("x"))
             .select(F.col("source").alias("_s"), "x")
         )
-        # a single hash value is left: taken if that is nearer, else all below it
-        nearer = 2 * F.col("budget") > 2 * F.col("x.b0") + F.col("x.n")
         state = checkpointed(
-            state.join(passed, F.col("source").eqNullSafe(F.col("_s")), "left")
+            state.join(passed, same, "left")
             .withColumn(
                 "threshold",
                 F.when(F.col("threshold").isNotNull(), F.col("threshold"))
-                .when(F.col("x").isNull(), F.lit((1 << HASH_BITS) - 1))  # the budget holds all of it
-                .when(F.col("x.lo") == F.col("x.hi"), F.col("x.lo") - F.when(nearer, 0).otherwise(1)),
+                .when(F.col("x").isNull(), F.lit((1 << HASH_BITS) - 1))  # the budget holds all that is left
+                .when(F.col("x.lo") == F.col("x.hi"), F.col("x.lo") - 1),  # a single hash value: it doesn't fit
             )
             .withColumn("prefix", F.coalesce(F.col("x.bucket"), F.col("prefix")))
             .withColumn("before", F.coalesce(F.col("x.b0"), F.col("before")))
@@ -129,35 +144,48 @@ def thresholds(sized: DataFrame, goals: DataFrame) -> DataFrame:
         )
         if state.filter("threshold IS NULL").isEmpty():
             break
-    return state
+    # what the pass takes, for the next one's rest
+    state = state.withColumnRenamed("threshold", f"t{k}").drop("prefix", "before")
+    keys = state.withColumnRenamed("source", "_s").select("_s", *[f"t{i}" for i in range(1, k + 1)], f"r{k}")
+    taken = (
+        sized.join(keys, F.col("source").eqNullSafe(F.col("_s")) & _candidates(k) & (F.col("h") <= F.col(f"t{k}")))
+        .groupBy("source")
+        .agg(F.sum("size").alias("_taken"))
+        .select(F.col("source").alias("_s"), "_taken")
+    )
+    state = state.join(taken, F.col("source").eqNullSafe(F.col("_s")), "left")
+    return checkpointed(
+        state.withColumn(f"r{k + 1}", F.col(f"r{k}") - F.coalesce(F.col("_taken"), F.lit(0))).drop("_s", "_taken")
+    )
+
+
+def _times():
+    """How often a row is taken, from its hash, its size and its source's thresholds."""
+    once = F.lit(False)
+    for k in range(1, PASSES + 1):
+        once |= _candidates(k) & (F.col("h") <= F.col(f"t{k}"))
+    return F.col("copies") + once.cast("long")
+
+
+def _joined(sized: DataFrame) -> DataFrame:
+    goals = thresholds(sized, targets(sized)).withColumnRenamed("source", "_s")
+    return sized.join(goals, F.col("source").eqNullSafe(F.col("_s"))).withColumn("times", _times())
 
 
 def plan(documents: DataFrame) -> DataFrame:
-    """doc_id, size, source, source_size, target, times, taken for every row of ``documents``."""
+    """doc_id, size, source, h, source_size, target, times, taken for every row of ``documents``."""
     sized = stored(sizes(documents), "sizes")
-    goals = thresholds(sized, targets(sized))
-    per = goals.select(F.col("source").alias("_s"), "source_size", "target", "copies", "threshold")
-    times = F.col("copies") + (F.col("h") <= F.col("threshold")).cast("long")
-    return (
-        sized.join(per, F.col("source").eqNullSafe(F.col("_s")))
-        .withColumn("times", times)
-        .select(
-            "doc_id", "size", "source", "h", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken")
-        )
-    )
+    taken = (F.col("times") * F.col("size")).alias("taken")
+    return _joined(sized).select("doc_id", "size", "source", "h", "source_size", "target", "times", taken)
 
 
 def mixed(documents: DataFrame) -> DataFrame:
-    """The mix itself: rows of ``documents``, each as often as the mix takes it."""
+    """The mix itself: rows of ``documents``, each as often as the mix takes it. Texts are not shuffled
+    where the table of sources is small enough for Spark to broadcast."""
     sized = stored(sizes(documents), "sizes")
     goals = thresholds(sized, targets(sized))
-    per = goals.select(F.col("source").alias("_s"), F.col("copies").alias("_c"), F.col("threshold").alias("_t"))
-    h = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10)
-    times = F.col("_c") + (h.cast("long") <= F.col("_t")).cast("long")
-    return (
-        documents.join(per, F.col("source").cast("string").eqNullSafe(F.col("_s")))
-        .withColumn("_times", times)
-        .filter("_times > 0")
-        .withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
-        .select(*documents.columns)
-    )
+    own = goals.select(F.col("source").alias("_s"), *[F.col(c).alias(c) for c in goals.columns if c != "source"])
+    extra = {"h": _hash(F.col("doc_id")), "size": _size(F.col("text")), "_source": F.col("source").cast("string")}
+    out = documents.select(F.struct(*documents.columns).alias("_row"), *[c.alias(n) for n, c in extra.items()])
+    out = out.join(own, F.col("_source").eqNullSafe(F.col("_s"))).withColumn("times", _times()).filter("times > 0")
+    return out.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("_row.*")

@@ -26,8 +26,10 @@ def with_text(cells: DataFrame) -> DataFrame:
 
 
 def drop_empty(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Without rows of empty cells, then without columns that hold nothing of their own; r and c are renumbered from 0."""
-    x = with_text(cells)
+    """Without rows of empty cells, then without columns that hold nothing of their own; r and c are renumbered from 0.
+
+    Cells are dealt by table once; windows, aggregates and joins within tables keep to that."""
+    x = with_text(cells.repartition(*keys))
     x = x.withColumn("_e", F.bool_and("empty").over(W.partitionBy(*keys, "r"))).filter("NOT _e")
     x = x.withColumn("_e", F.bool_and(F.col("empty") | F.col("h_cont")).over(W.partitionBy(*keys, "c"))).filter("NOT _e")
     rank = lambda c: (F.dense_rank().over(W.partitionBy(*keys).orderBy(c)) - 1).cast("int")
@@ -119,42 +121,53 @@ def kinds(grid: DataFrame, keys: list[str]) -> DataFrame:
     return t.select(*keys, kind.alias("kind"), signature.alias("signature"))
 
 
-def header_depth(grid: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, depth: how many rows head a table. Merged cells that reach below the head so far draw it down,
-    groups over several columns one row more; that settles within ``HEADER_ROWS`` steps."""
-    span = grid.groupBy(*keys, "key").agg(
-        F.min("r").alias("r0"), F.max("r").alias("r1"), F.min("c").alias("c0"), F.max("c").alias("c1"), F.max("empty").alias("blank")
-    )
-    row = grid.groupBy(*keys, "r").agg(
-        F.count(F.lit(1)).alias("cols"),
-        F.count_distinct("key").alias("own"),
-        F.count_if(~F.col("empty")).alias("filled"),
-        F.count_if(~F.col("empty") & F.col("bold")).alias("bold"),
-        F.count_if(~F.col("empty") & is_numeric(F.col("text"))).alias("numeric"),
+def _rows(grid: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, rows: a table as one row, an array of its rows with what heads are told by and their cells."""
+    cell = W.partitionBy(*keys, "key")
+    row = W.partitionBy(*keys, "r")
+    g = grid.withColumn("_wide", (F.count(F.lit(1)).over(row) > 1) & (F.min("key").over(row) == F.max("key").over(row)))
+    over = F.max("c").over(cell) > F.min("c").over(cell)
+    need = F.max("r").over(cell) + 1 + (over & ~F.col("_wide")).cast("int")
+    origin = ~F.col("empty") & (F.col("r") == F.min("r").over(cell))
+    g = g.withColumn("_need", F.when(origin, need))
+    shown = F.when(F.col("h_cont"), "").otherwise(F.array_join("lines", "<br>"))
+    full = ~F.col("empty")
+    rows = g.groupBy(*keys, "r").agg(
+        F.max("_need").alias("need"),
+        F.count_if(full).alias("filled"),
+        F.count_if(full & F.col("bold")).alias("bold"),
+        F.count_if(full & is_numeric(F.col("text"))).alias("numeric"),
+        F.bool_and("_wide").alias("wide"),
+        F.array_sort(F.collect_list(F.struct("c", "text", shown.alias("shown")))).alias("cells"),
     )
-    need = span.filter("NOT blank").join(row.select(*keys, F.col("r").alias("r0"), "cols", "own"), [*keys, "r0"])
-    wide = (F.col("c1") > F.col("c0")) & ~((F.col("cols") > 1) & (F.col("own") == 1))
-    need = need.groupBy(*keys).agg(F.collect_list(F.struct("r0", (F.col("r1") + 1 + wide.cast("int")).alias("need"))).alias("needs"))
-    flat = row.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("r", "filled", "bold", "numeric"))).alias("rows"))
-    t = flat.join(need, keys, "left")
-    first = F.col("rows")[0]
-    body = F.slice("rows", 2, 1_000_000)
+    item = F.struct("r", "need", "filled", "bold", "numeric", "wide", "cells")
+    return rows.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("rows"))
+
+
+def _with_depth(t: DataFrame) -> DataFrame:
+    """How many rows head a table. Merged cells that reach below the head so far draw it down,
+    groups over several columns one row more; that settles within ``HEADER_ROWS`` steps."""
+    rows, n = F.col("rows"), F.size("rows")
+    first, body = rows[0], F.slice("rows", 2, 1_000_000)
+    total = lambda name: F.aggregate(F.transform(body, lambda x: x[name]), F.lit(0).cast("long"), lambda a, x: a + x)
     all_bold = (first["filled"] > 0) & (first["bold"] == first["filled"])
-    body_filled = F.aggregate(body, F.lit(0).cast("long"), lambda a, x: a + x["filled"])
-    body_bold = F.aggregate(body, F.lit(0).cast("long"), lambda a, x: a + x["bold"])
-    t = t.withColumn("by_bold", all_bold & (body_filled > 0) & (body_bold < body_filled))
-    data = ~F.col("by_bold") & (first["filled"] > 0) & (2 * first["numeric"] >= first["filled"])
-    needs = F.coalesce("needs", F.array().cast("array<struct<r0:int,need:int>>"))
-    t = t.withColumn("_d", F.lit(1))
-    for _ in range(HEADER_ROWS):
-        reach = F.aggregate(needs, F.col("_d"), lambda a, x: F.when(x["r0"] < F.col("_d"), F.greatest(a, x["need"])).otherwise(a))
-        t = t.withColumn("_d", reach)
-    for _ in range(HEADER_ROWS - 1):
-        at = F.get("rows", F.col("_d"))
-        more = F.col("by_bold") & (F.col("_d") < F.least(F.lit(HEADER_ROWS), F.col("n"))) & (at["filled"] > 0) & (at["bold"] == at["filled"])
-        t = t.withColumn("_d", F.col("_d") + F.coalesce(more.cast("int"), F.lit(0)))
-    d = F.when(F.col("n") == 1, 1).when(data, 0).otherwise(F.least(F.col("_d"), F.lit(HEADER_ROWS), F.col("n") - 1))
-    return t.select(*keys, d.cast("int").alias("depth"))
+    t = t.withColumn("_bold", all_bold & (total("filled") > 0) & (total("bold") < total("filled")))
+    data = ~F.col("_bold") & (first["filled"] > 0) & (2 * first["numeric"] >= first["filled"])
+    # rows come in order, so one walk meets every cell that the head has reached by then
+    reach = F.aggregate("rows", F.lit(1), lambda a, x: F.when((x["r"] < a) & (x["need"] > a), x["need"]).otherwise(a))
+    t = t.withColumn("_d", reach)
+    bold_row = lambda i: (F.get(rows, i)["filled"] > 0) & (F.get(rows, i)["bold"] == F.get(rows, i)["filled"])
+    more = F.aggregate(
+        F.sequence(F.lit(1), F.lit(HEADER_ROWS - 1)),
+        F.col("_d"),
+        lambda a, _: F.when(F.col("_bold") & (a < F.least(F.lit(HEADER_ROWS), n)) & F.coalesce(bold_row(a), F.lit(False)), a + 1).otherwise(a),
+    )
+    return t.withColumn("depth", F.when(n == 1, 1).when(data, 0).otherwise(F.least(more, F.lit(HEADER_ROWS), n - 1))).drop("_bold", "_d")
+
+
+def header_depth(grid: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, depth of every table."""
+    return _with_depth(_rows(grid, keys)).select(*keys, "depth")
 
 
 def _pipe(c: Column) -> Column:
@@ -168,26 +181,25 @@ def _line(cells: Column) -> Column:
 def render_grid(grid: DataFrame, keys: list[str]) -> DataFrame:
     """keys, md: tables with a head, in the pipe form. Head rows are joined per column without repeats,
     full-width rows are bold, repeats of the head in the body go."""
-    g = grid.join(header_depth(grid, keys), keys)
-    col = F.array_sort(F.collect_list(F.when(F.col("r") < F.col("depth"), F.struct("r", "text"))))
-    names = F.filter(F.transform(col, lambda x: x["text"]), lambda x: x != "")
-    empty = F.array().cast("array<string>")
-    names = F.aggregate(names, empty, lambda a, x: F.when((F.size(a) > 0) & (F.element_at(a, -1) == x), a).otherwise(F.concat(a, F.array(x))))
-    heads = g.groupBy(*keys, "c").agg(F.array_join(names, " / ").alias("h"))
-    heads = heads.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("c", "h"))), lambda x: x["h"]).alias("head"))
-    shown = F.when(F.col("h_cont"), "").otherwise(F.array_join("lines", "<br>"))
-    rows = g.filter("r >= depth").groupBy(*keys, "r").agg(
-        F.array_sort(F.collect_list(F.struct("c", shown.alias("s"), "text"))).alias("x"), F.count_distinct("key").alias("own")
-    )
-    rows = rows.join(heads, keys, "right")
-    texts = F.transform("x", lambda e: e["text"])
-    wide = (F.size("x") > 1) & (F.col("own") == 1)
-    bold = F.concat(F.array(F.concat(F.lit("**"), F.col("x")[0]["text"], F.lit("**"))), F.array_repeat(F.lit(""), F.size("x") - 1))
-    line = F.when(wide, _line(bold)).when(texts != F.col("head"), _line(F.transform("x", lambda e: e["s"])))
-    lines = F.transform(F.array_sort(F.collect_list(F.when(line.isNotNull(), F.struct("r", line.alias("l"))))), lambda e: e["l"])
-    out = rows.groupBy(*keys, "head").agg(lines.alias("body"))
+    t = _with_depth(_rows(grid, keys))
+    top = F.slice("rows", F.lit(1), F.col("depth"))
+    none = F.array().cast("array<string>")
+
+    def name(i: Column) -> Column:
+        texts = F.filter(F.transform(top, lambda r: r["cells"][i]["text"]), lambda x: x != "")
+        kept = F.aggregate(texts, none, lambda a, x: F.when((F.size(a) > 0) & (F.element_at(a, -1) == x), a).otherwise(F.concat(a, F.array(x))))
+        return F.array_join(kept, " / ")
+
+    t = t.withColumn("head", F.transform(F.sequence(F.lit(0), F.size(F.col("rows")[0]["cells"]) - 1), name))
+
+    def line(r: Column) -> Column:
+        bold = F.concat(F.array(F.concat(F.lit("**"), r["cells"][0]["text"], F.lit("**"))), F.array_repeat(F.lit(""), F.size(r["cells"]) - 1))
+        own = F.when(F.transform(r["cells"], lambda e: e["text"]) != F.col("head"), _line(F.transform(r["cells"], lambda e: e["shown"])))
+        return F.when(r["wide"], _line(bold)).otherwise(own)
+
+    body = F.array_compact(F.transform(F.slice("rows", F.col("depth") + 1, F.size("rows")), line))
     rule = F.concat(F.lit("|"), F.array_join(F.array_repeat(F.lit("---"), F.size("head")), "|"), F.lit("|"))
-    return out.select(*keys, F.array_join(F.concat(F.array(_line(F.col("head")), rule), F.col("body")), "\n").alias("md"))
+    return t.select(*keys, F.array_join(F.concat(F.array(_line(F.col("head")), rule), body), "\n").alias("md"))
 
 
 def render_key_value(grid: DataFrame, keys: list[str]) -> DataFrame:
@@ -221,12 +233,12 @@ def render_layout(grid: DataFrame, keys: list[str], by_column: Column) -> DataFr
 def to_markdown(cells: DataFrame, keys: list[str]) -> DataFrame:
     """keys, kind, md of every table: a full-width first row of three and more is a caption, the rest by its kind."""
     g = drop_empty(cells, keys)
-    rows = g.groupBy(*keys, "r").agg(F.count(F.lit(1)).alias("cols"), F.count_distinct("key").alias("own"), F.max("text").alias("text"))
-    size = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max(F.when((F.col("r") == 0) & (F.col("cols") > 1) & (F.col("own") == 1), F.col("text"))).alias("caption"))
-    size = size.select(*keys, F.when(F.col("n") >= 3, F.col("caption")).alias("caption"))
-    g = g.join(size, keys).filter("caption IS NULL OR r > 0")
-    captions = size.filter("caption IS NOT NULL")
-    g = drop_empty(g.drop("text", "empty", "caption"), keys)
+    row, all_ = W.partitionBy(*keys, "r"), W.partitionBy(*keys)
+    wide = (F.count(F.lit(1)).over(row) > 1) & (F.min("key").over(row) == F.max("key").over(row))
+    g = g.withColumn("_w", (F.col("r") == 0) & wide & (F.max("r").over(all_) >= 2))
+    g = g.withColumn("caption", F.max(F.when(F.col("_w"), F.col("text"))).over(all_))
+    captions = g.filter("_w").groupBy(*keys).agg(F.max("caption").alias("caption"))
+    g = drop_empty(g.filter("NOT _w").drop("text", "empty", "caption", "_w"), keys)
     k = kinds(g, keys)
     g = g.join(k, keys)
     parts = [

@@ -184,8 +184,8 @@ def mixed(documents: DataFrame) -> DataFrame:
     where the table of sources is small enough for Spark to broadcast."""
     sized = stored(sizes(documents), "sizes")
     goals = thresholds(sized, targets(sized))
-    own = goals.select(F.col("source").alias("_s"), *[F.col(c).alias(c) for c in goals.columns if c != "source"])
+    own = goals.withColumnRenamed("source", "_s")
     extra = {"h": _hash(F.col("doc_id")), "size": _size(F.col("text")), "_source": F.col("source").cast("string")}
-    out = documents.select(F.struct(*documents.columns).alias("_row"), *[c.alias(n) for n, c in extra.items()])
+    out = documents.select(F.struct("*").alias("_row"), *[c.alias(n) for n, c in extra.items()])
     out = out.join(own, F.col("_source").eqNullSafe(F.col("_s"))).withColumn("times", _times()).filter("times > 0")
     return out.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("_row.*")

@@ -200,9 +200,10 @@ def deduplicated(documents: DataFrame) -> DataFrame:
     rows, named = _labelled(documents)
     stay = rows.join(named, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stay = stay.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-    kept = documents.join(stored(stay, "stay"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    once = kept.filter("_n = 1").select(*documents.columns)
-    again = kept.filter("_n > 1").withColumn("_fp", fp_of("text"))
+    whole = documents.select(F.struct("*").alias("_row"))  # whatever names the columns have
+    kept = whole.join(stored(stay, "stay"), F.col("_row.doc_id").eqNullSafe(F.col("_id")))
+    once = kept.filter("_n = 1").select("_row.*")
+    again = kept.filter("_n > 1").select("_row", "_id", fp_of(F.col("_row.text")).alias("_fp"))
     named = named.select(F.col("fp").alias("_f"), F.col("root").alias("_r"), F.col("component_id").alias("_c"))
-    again = again.join(named, (F.col("_fp") == F.col("_f")) & F.col("doc_id").eqNullSafe(F.col("_c")))
-    return once.unionByName(again.dropDuplicates(["doc_id", "_r"]).select(*documents.columns))
+    again = again.join(named, (F.col("_fp") == F.col("_f")) & F.col("_id").eqNullSafe(F.col("_c")))
+    return once.unionByName(again.dropDuplicates(["_id", "_r"]).select("_row.*"))

@@ -94,10 +94,13 @@ def test_search_recall_and_few(spark, sf):
 
 def test_adaptive_scan_keeps_the_best():
     r = np.random.default_rng(2)
-    x, q = r.standard_normal((2000, 64)), r.standard_normal((20, 64))
-    kept = ann.scan(x, q, 10, ann.rotation(64))
-    hits = [len(set(np.argsort(-(x @ v))[:10]) & set(k.tolist())) for v, k in zip(q, kept)]
-    assert np.mean(hits) >= 9.5 and np.mean([len(k) for k in kept]) < 1500
+    x, q = r.standard_normal((6000, 64)), r.standard_normal((40, 64))
+    lists = np.sort(r.integers(0, 15, 6000))
+    probes = np.ones((40, 15), bool)
+    who, at, score = ann.scan(x, lists, np.arange(6000), q, probes, 10, ann.rotation(64))
+    assert np.allclose(score, (q[who] * x[at]).sum(1)) and (np.bincount(who) == 10).all()
+    hits = [len(set(np.argsort(-(x @ v))[:10]) & set(at[who == i].tolist())) for i, v in enumerate(q)]
+    assert np.mean(hits) >= 9.5
 
 
 # 2

@@ -198,8 +198,9 @@ def deduplicated(documents: DataFrame) -> DataFrame:
         return pd.Series(np.array([fingerprint((t or "").encode()) for t in texts], np.uint64).view(np.int64))
 
     rows, named = _labelled(documents)
-    stay = rows.join(named, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = stay.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    own = F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = rows.join(named, "fp").groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"), own.alias("_own")).filter("_own")
+    stay = stay.select("_id", F.when(F.col("_id").isNull(), 2).otherwise(F.col("_n")).alias("_n"))
     whole = documents.select(F.struct("*").alias("_row"))  # whatever names the columns have
     kept = whole.join(stored(stay, "stay"), F.col("_row.doc_id").eqNullSafe(F.col("_id")))
     once = kept.filter("_n = 1").select("_row.*")

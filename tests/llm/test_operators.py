@@ -312,6 +312,7 @@ def test_simhash_links_lose_none(spark, monkeypatch, cell):
 
 
 def test_deduplicated_keeps_one_of_each(spark, rows):
+    rows = [*rows, (118, rows[60][1], "s1")]  # an id with two texts
     d = documents(spark, rows)
     got = simhash.deduplicated(d)
     assert got.columns == d.columns

@@ -330,3 +330,24 @@ def body_kind(text: Column) -> Column:
     pipes = F.size(F.filter(lines, lambda x: F.ltrim(x).startswith("|")))
     is_table = (pipes >= 2) & (10 * pipes >= 8 * F.size(lines))
     return F.when(is_table, "table_scan").when(F.length(strip(text)) < 40, "diagram").otherwise("text_scan")
+
+
+def splice_cells(tables_: DataFrame, read: DataFrame, keys: list[str], name: int = 0) -> DataFrame:
+    """keys, md: cells read again put into a pipe table. The n-th reading (keys, nth from 1, cells: map of column to text) goes to
+    the n-th row below the rule line that has a name and is neither a total nor a row of column numbers. tables_: keys, md."""
+    lines = tables_.select(*keys, F.posexplode(F.split("md", "\n")).alias("pos", "line"))
+    rule = F.regexp_like("line", F.lit(r"^\s*\|[\s:|-]*-[\s:|-]*\|?\s*$"))
+    after = F.max(rule.cast("int")).over(W.partitionBy(*keys).orderBy("pos").rowsBetween(W.unboundedPreceding, -1)) == 1
+    cells = F.transform(F.split(F.regexp_replace(F.btrim("line"), r"^\|+|\|+$", ""), r"\|"), lambda c: F.btrim(c))
+    x = lines.withColumn("_c", cells).withColumn("_a", F.coalesce(after, F.lit(False)))
+    first = F.lower(F.regexp_replace(F.get("_c", F.lit(0)), r"^\.+|\.+$", ""))
+    counted = F.col("_c") == F.transform(F.sequence(F.lit(1), F.size("_c")), lambda i: i.cast("string"))
+    total = first.startswith("итого") | first.startswith("всего")
+    fits = F.col("_a") & F.ltrim("line").startswith("|") & ~counted & ~total & (F.coalesce(F.get("_c", F.lit(name)), F.lit("")) != "")
+    x = x.withColumn("_f", fits).withColumn("nth", F.sum(F.col("_f").cast("int")).over(W.partitionBy(*keys).orderBy("pos")))
+    r = read.select(*keys, "nth", F.col("cells").alias("_new"))
+    x = x.join(r, [*keys, "nth"], "left")
+    new = F.transform("_c", lambda c, i: F.coalesce(F.try_element_at("_new", i), c))
+    line = F.when(F.col("_f") & F.col("_new").isNotNull(), F.concat(F.lit("| "), F.array_join(new, " | "), F.lit(" |"))).otherwise(F.col("line"))
+    x = x.withColumn("_l", line).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "_l"))).alias("x"))
+    return x.select(*keys, F.array_join(F.transform("x", lambda e: e["_l"]), "\n").alias("md"))

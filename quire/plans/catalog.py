@@ -403,15 +403,6 @@ def q25_grid_drop_empty(spark, sf):
     return tables.drop_empty(_cells(spark, sf), ["doc"]).select("doc", "r", "c", "text")
 
 
-_KIND = f"""WITH d AS ({_DROPPED}), rows AS (SELECT doc, r, count(*) AS cols, bool_and(text <> '') AS full_, count(*) FILTER (text = '') AS blank, bool_and(text <> '') AS short,
-    count(*) FILTER (text <> '') AS filled, max(text) FILTER (c = 0) AS l, max(text) FILTER (c = 1) AS rt FROM d GROUP BY doc, r),
-  t AS (SELECT doc, count(*) AS n, max(cols) AS cols, bool_or(full_ AND r = 0) AS top, sum(blank) AS blank, sum(cols) AS cells, count(*) FILTER (l <> '') AS lefts, max(length(l)) AS longest,
-    count(DISTINCT l) FILTER (l <> '') AS uniq, sum(filled) FILTER (r > 0) AS body, count(*) FILTER (l <> '' AND regexp_full_match(l, '[-+−–]?\\d[\\d\\s.,]*%?')) AS nums, bool_or(r = 0 AND full_) AS head,
-    bool_or(r = 0 AND filled > 0) AS hasfirst FROM rows GROUP BY doc)
-  SELECT doc, CASE WHEN cols = 1 THEN 'layout' WHEN n = 1 THEN CASE WHEN cols >= 3 AND top THEN 'grid' ELSE 'layout' END WHEN cols >= 3 AND top THEN 'grid' WHEN 2 * blank >= cells THEN 'layout'
-    WHEN cols = 2 AND NOT coalesce(hasfirst AND body > 0, false) AND 10 * lefts >= 8 * n AND lefts > 0 AND longest <= 80 AND 2 * nums < lefts AND 10 * uniq >= 8 * lefts THEN 'key_value' ELSE 'grid' END AS kind FROM t"""
-
-
 @query()
 def q26_table_kind(spark, sf):
     """Every order's table by its shape; tests hold it to a plain loop over cells."""

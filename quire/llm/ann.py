@@ -31,8 +31,6 @@ first. Fewer candidates than k: all. Empty table: empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa

@@ -15,7 +15,7 @@ the text. A role's ``%`` and newline become ``%25`` and ``%0A``, so that the
 first newline of a segment ends its role.
 
 Defined cases. Null text or role: empty. Null turn: before all others. Rows of
-equal turn: by role, then text. Repeated rows: each is a turn. Null conv_id: one
+equal turn: by role, then text, as rendered. Repeated rows: each is a turn. Null conv_id: one
 conversation. A conversation without assistant turns has segments and no
 example. Other columns are ignored. Empty table: empty result.
 """
@@ -69,7 +69,6 @@ def parsed(segs: DataFrame) -> DataFrame:
         segs.withColumn("_inner", inner)
         .withColumn("_role", _role_in(F.expr("substring(_inner, 1, instr(_inner, '\n') - 1)")))
         .withColumn("_text", unescape(F.expr("substring(_inner, instr(_inner, '\n') + 1)")))
-        .withColumn("_masked", unescape(F.expr("substring(segment, loss_start + 1, loss_end - loss_start)")))
         .drop("_inner")
     )
 
@@ -135,32 +134,24 @@ def materialize(segs: DataFrame) -> DataFrame:
 
 
 def digests(segs: DataFrame) -> DataFrame:
-    """Per conversation, digests of what is read back from the segments.
+    """Per conversation, digests of what is read back: turns from the segments, trainable texts from the examples.
 
-    SHA-256 of a conversation needs its text in one row, so its turns are
-    aggregated here; that is the digest's need, not the formatting's.
-    """
-    p = parsed(segs).select(
-        "conv_id",
-        F.length("segment").cast("long").alias("n"),
-        F.struct(
-            "turn",
-            F.col("_role").alias("r"),
-            F.col("_text").alias("t"),
-            F.when(F.col("is_target"), F.col("_masked")).alias("m"),
-        ).alias("x"),
-    )
+    SHA-256 of a conversation needs its text in one row, so its turns are aggregated here;
+    that is the digest's need, not the formatting's."""
+    p = parsed(segs).select("conv_id", F.length("segment").cast("long").alias("n"), F.struct("turn", "segment", F.col("_role").alias("r"), F.col("_text").alias("t")).alias("x"))
     per = p.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list("x")).alias("xs"),
-        F.count(F.lit(1)).alias("n_turns"),
-        F.sum("n").alias("formatted_chars"),
+        F.array_sort(F.collect_list("x")).alias("xs"), F.count(F.lit(1)).alias("n_turns"), F.sum("n").alias("formatted_chars")
     )
     turns = F.array_join(F.transform("xs", lambda x: F.concat(x["r"], F.lit("\n"), x["t"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform("xs", lambda x: F.coalesce(x["m"], F.lit(""))), "")
-    return per.withColumn("_loss", loss).select(
+    per = per.select("conv_id", "n_turns", "formatted_chars", F.sha2(turns.cast("binary"), 256).alias("turns_sha256"))
+    reply = F.expr("substring(target, cast(loss_start - context_chars + 1 as int), cast(loss_end - loss_start as int))")
+    ex = examples(segs).select(F.col("conv_id").alias("_conv"), F.struct("context_turns", unescape(reply).alias("m")).alias("x"))
+    loss = ex.groupBy("_conv").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["m"]), "").alias("_loss"))
+    out = per.join(loss, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").withColumn("_loss", F.coalesce("_loss", F.lit("")))
+    return out.select(
         "conv_id",
         F.col("n_turns").cast("long").alias("n_turns"),
-        F.sha2(turns.cast("binary"), 256).alias("turns_sha256"),
+        "turns_sha256",
         F.length("_loss").cast("long").alias("loss_chars"),
         F.sha2(F.col("_loss").cast("binary"), 256).alias("loss_sha256"),
         F.col("formatted_chars").cast("long").alias("formatted_chars"),

@@ -377,18 +377,12 @@ def test_chat_examples(spark):
     df = spark.createDataFrame(TALK, "conv_id long, turn long, role string, text string")
     segs = chat.segments(df)
     full = sorted((str(r["conv_id"]), r["text"], r["loss_start"], r["loss_end"]) for r in chat.materialize(segs).collect())
-    want = []
-    shown = {(r["conv_id"], r["turn"], r["segment"]) for r in segs.collect()}
-    per = {}
-    for c, t, s in shown:
-        per.setdefault(c, []).append((t is not None, t or 0, s))
     assert len(full) == sum(r == "assistant" for _, _, r, _ in TALK)
     for c, x, a, b in full:
         assert x[:a].endswith("assistant\n") and x[b:] == chat.END + "\n"
     by_block = sorted((str(r["conv_id"]), r["context_chars"], r["context_turns"], r["loss_start"], r["loss_end"]) for r in chat.examples(segs, block=2).collect())
     assert sorted((c, a, b) for c, _, a, b in full) == sorted((c, a, b) for c, _, _, a, b in by_block)
     assert all(a > n for _, n, _, a, _ in by_block)
-    del want
 
 
 # 10

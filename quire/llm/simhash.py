@@ -189,22 +189,28 @@ def hex_digits(fp: str = "fp"):
 def deduplicated(documents: DataFrame) -> DataFrame:
     """``documents`` with one row of each group, that of the smallest doc_id.
 
-    Where that doc_id is null or rows repeat it, one of its rows in each group stays;
-    only such rows are fingerprinted again to tell their groups apart.
+    Texts are shuffled once, by doc_id, in a merge join at any size. Where that doc_id is null
+    or rows repeat it, one of its rows in each group stays; only such rows, where there are any,
+    are fingerprinted again to tell their groups apart.
     """
 
     @F.pandas_udf("bigint")
     def fp_of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint((t or "").encode()) for t in texts], np.uint64).view(np.int64))
 
+    fp_of = fp_of.asNondeterministic()  # else a join on it computes it for all rows
     rows, named = _labelled(documents)
     own = F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stay = rows.join(named, "fp").groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"), own.alias("_own")).filter("_own")
     stay = stay.select("_id", F.when(F.col("_id").isNull(), 2).otherwise(F.col("_n")).alias("_n"))
+    stay = stored(stay, "stay")
     whole = documents.select(F.struct("*").alias("_row"))  # whatever names the columns have
-    kept = whole.join(stored(stay, "stay"), F.col("_row.doc_id").eqNullSafe(F.col("_id")))
-    once = kept.filter("_n = 1").select("_row.*")
-    again = kept.filter("_n > 1").select("_row", "_id", fp_of(F.col("_row.text")).alias("_fp"))
+    same = F.col("_row.doc_id").eqNullSafe(F.col("_id"))
+    once = whole.join(stay.filter("_n = 1").hint("merge"), same).select("_row.*")
+    repeated = stay.filter("_n > 1")
+    if repeated.isEmpty():
+        return once
+    again = whole.join(repeated, same).select("_row", "_id", fp_of(F.col("_row.text")).alias("_fp"))
     named = named.select(F.col("fp").alias("_f"), F.col("root").alias("_r"), F.col("component_id").alias("_c"))
     again = again.join(named, (F.col("_fp") == F.col("_f")) & F.col("_id").eqNullSafe(F.col("_c")))
     return once.unionByName(again.dropDuplicates(["_id", "_r"]).select("_row.*"))

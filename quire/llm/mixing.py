@@ -23,11 +23,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, checkpointed, stored
+from .common import WORD, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 HASH_BITS, LEVEL_BITS, PASSES = 60, 12, 3
+ALL = (1 << HASH_BITS) - 1
 
 
 def _hash(doc_id: Column) -> Column:
@@ -106,7 +107,7 @@ def _candidates(k: int):
 def _one_pass(sized: DataFrame, state: DataFrame, k: int) -> DataFrame:
     low = F.lit(-1).cast("long") if k == 1 else F.col(f"t{k - 1}")
     state = state.withColumn("prefix", F.lit(0).cast("long")).withColumn("before", F.lit(0).cast("long"))
-    state = checkpointed(state.withColumn("threshold", F.when(F.col(f"r{k}") <= 0, low)))
+    state = stored(state.withColumn("threshold", F.when(F.col(f"r{k}") <= 0, low)), "goals")
     columns = state.columns
     for shift in range(HASH_BITS - LEVEL_BITS, -1, -LEVEL_BITS):
         open_ = state.filter("threshold IS NULL").withColumnRenamed("source", "_s")
@@ -130,33 +131,24 @@ def _one_pass(sized: DataFrame, state: DataFrame, k: int) -> DataFrame:
             .agg(F.min(F.struct("bucket", "b0", "lo", "hi")).alias("x"))
             .select(F.col("source").alias("_s"), "x")
         )
-        state = checkpointed(
+        state = stored(
             state.join(passed, same, "left")
             .withColumn(
                 "threshold",
                 F.when(F.col("threshold").isNotNull(), F.col("threshold"))
-                .when(F.col("x").isNull(), F.lit((1 << HASH_BITS) - 1))  # the budget holds all that is left
+                .when(F.col("x").isNull(), F.lit(ALL))  # the budget holds all that is left
                 .when(F.col("x.lo") == F.col("x.hi"), F.col("x.lo") - 1),  # a single hash value: it doesn't fit
             )
             .withColumn("prefix", F.coalesce(F.col("x.bucket"), F.col("prefix")))
             .withColumn("before", F.coalesce(F.col("x.b0"), F.col("before")))
-            .select(*columns)
+            .select(*columns),
+            "goals",
         )
         if state.filter("threshold IS NULL").isEmpty():
             break
-    # what the pass takes, for the next one's rest
-    state = state.withColumnRenamed("threshold", f"t{k}").drop("prefix", "before")
-    keys = state.withColumnRenamed("source", "_s").select("_s", *[f"t{i}" for i in range(1, k + 1)], f"r{k}")
-    taken = (
-        sized.join(keys, F.col("source").eqNullSafe(F.col("_s")) & _candidates(k) & (F.col("h") <= F.col(f"t{k}")))
-        .groupBy("source")
-        .agg(F.sum("size").alias("_taken"))
-        .select(F.col("source").alias("_s"), "_taken")
-    )
-    state = state.join(taken, F.col("source").eqNullSafe(F.col("_s")), "left")
-    return checkpointed(
-        state.withColumn(f"r{k + 1}", F.col(f"r{k}") - F.coalesce(F.col("_taken"), F.lit(0))).drop("_s", "_taken")
-    )
+    # what lies before the boundary is what the pass takes; where the budget held all, nothing is left to take
+    rest = F.when((F.col(f"r{k}") <= 0) | (F.col("threshold") == ALL), F.lit(0)).otherwise(F.col(f"r{k}") - F.col("before"))
+    return state.withColumn(f"r{k + 1}", rest.cast("long")).withColumnRenamed("threshold", f"t{k}").drop("prefix", "before")
 
 
 def _times():
@@ -168,7 +160,7 @@ def _times():
 
 
 def _joined(sized: DataFrame) -> DataFrame:
-    goals = thresholds(sized, targets(sized)).withColumnRenamed("source", "_s")
+    goals = stored(thresholds(sized, targets(sized)).withColumnRenamed("source", "_s"), "goals")
     return sized.join(goals, F.col("source").eqNullSafe(F.col("_s"))).withColumn("times", _times())
 
 
@@ -183,8 +175,7 @@ def mixed(documents: DataFrame) -> DataFrame:
     """The mix itself: rows of ``documents``, each as often as the mix takes it. Texts are not shuffled
     where the table of sources is small enough for Spark to broadcast."""
     sized = stored(sizes(documents), "sizes")
-    goals = thresholds(sized, targets(sized))
-    own = goals.withColumnRenamed("source", "_s")
+    own = stored(thresholds(sized, targets(sized)).withColumnRenamed("source", "_s"), "goals")
     extra = {"h": _hash(F.col("doc_id")), "size": _size(F.col("text")), "_source": F.col("source").cast("string")}
     out = documents.select(F.struct("*").alias("_row"), *[c.alias(n) for n, c in extra.items()])
     out = out.join(own, F.col("_source").eqNullSafe(F.col("_s"))).withColumn("times", _times()).filter("times > 0")

@@ -68,3 +68,8 @@ LINES = """SELECT doc, pos, CASE pos % 4 WHEN 1 THEN concat(1 + pos % 3, ' ', he
   WHEN 3 THEN concat(1 + pos % 3, '.', 1 + pos % 2, '.1 ', head) ELSE head END AS text, pos % 8 = 1 AS bold, pos % 11 = 5 AS in_list FROM (
   SELECT doc_id AS doc, e AS pos, substring(text, e * 40 + 1, 30) AS head FROM {documents} CROSS JOIN (SELECT doc_id AS e FROM {documents} WHERE doc_id < 24) AS k
   WHERE e * 40 < length(text)) AS x"""
+
+#: Every line of whole documents, numbered in the same way; in Spark's dialect only.
+ALL_LINES = """SELECT doc, pos, CASE pos % 4 WHEN 1 THEN concat(1 + pos % 3, ' ', head) WHEN 2 THEN concat(1 + pos % 3, '.', 1 + pos % 2, ' ', head)
+  WHEN 3 THEN concat(1 + pos % 3, '.', 1 + pos % 2, '.1 ', head) ELSE head END AS text, pos % 8 = 1 AS bold, pos % 11 = 5 AS in_list FROM (
+  SELECT doc_id AS doc, pos, head FROM {documents} LATERAL VIEW posexplode(split(text, '\\n')) AS pos, head) AS x"""

@@ -635,6 +635,13 @@ def q41_marker_merge(spark, sf):
     return markdown.merge_markers(body, derived(spark, sf, _PARTS).withColumnRenamed("k", "key"))
 
 
+@query(ORACLE_SQL["q41_marker_merge"].replace("substring(text, 1, 40)", "text"))
+def q41b_marker_merge_whole(spark, sf):
+    """The same splice over whole texts."""
+    body = derived(spark, sf, _BODY.replace("substring(text, 1, 40)", "text").replace("'\\[FIGURE", "'[FIGURE"))
+    return markdown.merge_markers(body, derived(spark, sf, _PARTS).withColumnRenamed("k", "key"))
+
+
 _LINKED = """SELECT conv_id AS doc, role, concat('intro', chr(10), CASE WHEN conv_id % 2 = 0 THEN '| x |' ELSE 'x' END, chr(10), CASE WHEN conv_id % 2 = 0 THEN '| ' ELSE '' END, '![a', turn, '](m/img-', turn % 3, '.png) ![b](m/img-', turn % 3, '.png)',
   chr(10), '![c](http://e.x/y.png) ![d](<m/my pic.jpg>)') AS md, turn FROM {conversations} WHERE turn = 1 OR turn = 4"""
 

@@ -37,3 +37,9 @@ def test_headings_of_whole_texts(spark, tmp_path):
     assert any(pos > 60 for doc, pos, _ in want if doc == 100)
     got = {tuple(r) for r in catalog.q21b_heading_level_whole(spark, _documents(spark, tmp_path, list(texts.items()))).collect()}
     assert got == want
+
+
+def test_markers_late_in_a_body(spark, tmp_path):
+    text = "x" * 100 + " [TABLE 1] end"
+    got = catalog.q41b_marker_merge_whole(spark, _documents(spark, tmp_path, [(30, text)])).collect()
+    assert [tuple(r) for r in got] == [(30, "<t30>\n" + "x" * 100 + "  end\n<fig> and  \n\n<late>")]

@@ -656,6 +656,21 @@ def q42_enrich_first_link(spark, sf):
     return markdown.to_describe(docs, done).select("doc", "pos", "anchor", "stem", "alt")
 
 
+_ALL_LINKED = _LINKED.removesuffix(" WHERE turn = 1 OR turn = 4")
+
+
+@query(
+    f"""SELECT conv_id, turn, pos, anchor, stem, alt FROM (SELECT doc AS conv_id, turn, 2 AS pos, CASE WHEN doc % 2 = 0 THEN 1 ELSE 2 END AS anchor, 'img-' || turn % 3 AS stem, 'a' || turn AS alt FROM ({_ALL_LINKED})
+  UNION ALL SELECT doc, turn, 3, 3, 'my pic', 'd' FROM ({_ALL_LINKED})) WHERE NOT ((conv_id + turn) % 7 = 0 AND stem = 'my pic')"""
+)
+def q42b_enrich_first_link_whole(spark, sf):
+    """Links of every turn, by conversation and turn."""
+    key = F.struct(F.col("doc").alias("conv_id"), "turn").alias("doc")
+    docs = derived(spark, sf, _ALL_LINKED).select(key, "md")
+    done = docs.filter("(doc.conv_id + doc.turn) % 7 = 0").select("doc", F.lit("my pic").alias("stem"))
+    return markdown.to_describe(docs, done).select("doc.conv_id", "doc.turn", "pos", "anchor", "stem", "alt")
+
+
 _ASKS = "SELECT doc_id AS doc, text, lang AS mode, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE source END AS model FROM {documents}"
 
 

@@ -43,3 +43,15 @@ def test_markers_late_in_a_body(spark, tmp_path):
     text = "x" * 100 + " [TABLE 1] end"
     got = catalog.q41b_marker_merge_whole(spark, _documents(spark, tmp_path, [(30, text)])).collect()
     assert [tuple(r) for r in got] == [(30, "<t30>\n" + "x" * 100 + "  end\n<fig> and  \n\n<late>")]
+
+
+def _conversations(spark, path, rows):
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{path}/conversations.parquet")
+    return str(path)
+
+
+def test_links_of_every_turn(spark, tmp_path):
+    rows = [(c, t, "user", "x") for c in (1, 2) for t in range(25)]
+    got = {tuple(r) for r in catalog.q42b_enrich_first_link_whole(spark, _conversations(spark, tmp_path, rows)).collect()}
+    want = {(c, t, 2, 1 if c % 2 == 0 else 2, f"img-{t % 3}", f"a{t}") for c, t, _, _ in rows}
+    assert got == want | {(c, t, 3, 3, "my pic", "d") for c, t, _, _ in rows if (c + t) % 7}

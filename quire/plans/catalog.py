@@ -592,7 +592,7 @@ def q39b_layout_fusion(spark, sf):
     """Two detectors and ruled tables to one layout; greedy, held to its parts by tests."""
     b = _boxes(spark, sf)
     source = F.when(F.col("id") % 2 == 0, "heron").otherwise("dots")
-    dets = b.filter("id % 3 > 0").select("page", F.col("id").alias("ord"), "role", (F.col("score") / 10).alias("score"), "box", source.alias("source"))
+    dets = b.filter("NOT (id % 3 = 0 AND role = 'table')").select("page", F.col("id").alias("ord"), "role", (F.col("score") / 10).alias("score"), "box", source.alias("source"))
     ruled = b.filter("id % 3 = 0 AND role = 'table'").select("page", F.col("id").alias("ord"), "box")
     return layout.fuse(dets, ruled, ["page"], 1200, 1200)
 

@@ -1,6 +1,7 @@
 """Queries over whole texts: what stands late in a long text, or in a late turn, reaches the result."""
 
 from quire.plans import catalog
+from quire.plans.inputs import BOXES, derived
 
 
 def _documents(spark, path, rows):
@@ -55,3 +56,11 @@ def test_links_of_every_turn(spark, tmp_path):
     got = {tuple(r) for r in catalog.q42b_enrich_first_link_whole(spark, _conversations(spark, tmp_path, rows)).collect()}
     want = {(c, t, 2, 1 if c % 2 == 0 else 2, f"img-{t % 3}", f"a{t}") for c, t, _, _ in rows}
     assert got == want | {(c, t, 3, 3, "my pic", "d") for c, t, _, _ in rows if (c + t) % 7}
+
+
+def test_every_box_goes_to_one_side_of_the_fusion(spark, sf, monkeypatch):
+    sides = []
+    monkeypatch.setattr(catalog.layout, "fuse", lambda dets, ruled, *a: sides.extend([dets, ruled]))
+    catalog.q39b_layout_fusion(spark, sf)
+    dets, ruled = ([tuple(r) for r in x.select("page", "ord").collect()] for x in sides)
+    assert sorted(dets + ruled) == sorted(tuple(r) for r in derived(spark, sf, BOXES).select("page", "id").collect())

@@ -225,6 +225,14 @@ def q13_header_first_nonnull(spark, sf):
     return waybill.first_read(derived(spark, sf, _PARTIAL), ["doc"], ["page", "role"], ["a", "b"])
 
 
+_PARTIAL_WHOLE = _PARTIAL.replace("substring(text, 1, 12)", "text").replace("substring(text, 2, 9)", "text")
+
+
+@query(f"SELECT doc, min_by(a, (page, role)) FILTER (a IS NOT NULL) AS a, min_by(b, (page, role)) FILTER (b IS NOT NULL) AS b FROM ({_PARTIAL_WHOLE}) GROUP BY doc")
+def q13b_header_first_nonnull_whole(spark, sf):
+    return waybill.first_read(derived(spark, sf, _PARTIAL_WHOLE), ["doc"], ["page", "role"], ["a", "b"])
+
+
 @query(
     f"SELECT doc, max_by(off, n) FILTER (off IS NOT NULL) AS off, max_by(rate, n) FILTER (rate IS NOT NULL) AS rate FROM (SELECT doc, n, nullif(off, 0) AS off, nullif(rate, 0) AS rate FROM ({CENTS})) GROUP BY doc"
 )
@@ -621,6 +629,18 @@ def q40_captions_neighbours(spark, sf):
     return markdown.picture_captions(derived(spark, sf, _BLOCKS), ["doc"])
 
 
+_BLOCKS_WHOLE = _BLOCKS.replace("substring(role, 1, 4)", "text")
+
+
+@query(
+    f"""SELECT doc, pos, CASE WHEN p1 LIKE 'Таблица%' THEN p1 WHEN n1 LIKE 'Рис. %' THEN n1 WHEN n1 LIKE 'Рисунок%' THEN CASE WHEN n2 <> '' AND length(n2) <= 200 AND n2 NOT LIKE 'Рис%' AND n2 NOT LIKE 'Табл%' THEN n1 || ' – ' || n2 ELSE n1 END
+    WHEN p1 LIKE 'Рис%' THEN p1 ELSE 'image' END AS alt FROM (SELECT *, coalesce(lag(md) OVER w, '') AS p1, coalesce(lead(md) OVER w, '') AS n1, coalesce(lead(CASE WHEN kind = 'block' THEN md ELSE '' END, 2) OVER w, '') AS n2
+    FROM ({_BLOCKS_WHOLE}) WINDOW w AS (PARTITION BY doc ORDER BY pos)) WHERE kind = 'picture'"""
+)
+def q40b_captions_neighbours_whole(spark, sf):
+    return markdown.picture_captions(derived(spark, sf, _BLOCKS_WHOLE), ["doc"])
+
+
 _BODY = """SELECT doc_id AS doc, concat('[TABLE 1]', chr(10), substring(text, 1, 40), chr(10), '\\[FIGURE 2] and [TABLE 1]', CASE WHEN doc_id % 2 = 0 THEN ' [HAND 9]' ELSE '' END) AS body FROM {documents}"""
 _PARTS = """SELECT doc_id AS doc, 'TABLE 1' AS k, 1 AS ord, concat('<t', doc_id, '>') AS text FROM {documents} UNION ALL SELECT doc_id, 'FIGURE 2', 2, '<fig>' FROM {documents} WHERE doc_id % 3 = 0
   UNION ALL SELECT doc_id, 'TABLE 7', 3, '<late>' FROM {documents} WHERE doc_id % 5 = 0"""
@@ -728,6 +748,18 @@ def q46_sections(spark, sf):
     return s.select("id", *[F.col("m")[F.lit(k)].alias(n) for k, n in zip(answers.SECTIONS, ("description", "text", "analysis"))])
 
 
+_SECTIONS_WHOLE = """SELECT conv_id, turn, text AS r, CASE turn % 4 WHEN 0 THEN concat('**Описание:** ', text, chr(10), 'Анализ: нет', chr(10), 'Анализ: second') WHEN 1 THEN concat('just ', text)
+  WHEN 2 THEN concat('x', chr(10), 'Текст с изображения: ', text, chr(10), 'more', chr(10), 'Описание: «—»') ELSE 'Описание: ' END AS answer FROM {conversations}"""
+
+
+@query(
+    f"""SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN r WHEN 1 THEN 'just ' || r END AS description, CASE WHEN turn % 4 = 2 THEN r || chr(10) || 'more' END AS text, CASE WHEN turn % 4 = 0 THEN 'second' END AS analysis FROM ({_SECTIONS_WHOLE})"""
+)
+def q46b_sections_whole(spark, sf):
+    s = derived(spark, sf, _SECTIONS_WHOLE).select("conv_id", "turn", answers.sections(F.col("answer")).alias("m"))
+    return s.select("conv_id", "turn", *[F.col("m")[F.lit(k)].alias(n) for k, n in zip(answers.SECTIONS, ("description", "text", "analysis"))])
+
+
 @query(
     """WITH x AS (SELECT event_id AS id, 1 + event_id % 70 AS n FROM {events}), a AS (SELECT id, n, 'abcdefghijklmnopqrstuvwxyz' AS e, 'абвгдежзиклмнопрстуфхцчшщэюя' AS u FROM x)
   SELECT id, lpad(n::VARCHAR, 2, '0') AS zero, repeat(substring(e, ((n - 1) % 26 + 1)::INT, 1), ((n - 1) // 26 + 1)::INT) AS letters, repeat(substring(u, ((n - 1) % 28 + 1)::INT, 1), ((n - 1) // 28 + 1)::INT) AS russian,

@@ -64,3 +64,19 @@ def test_every_box_goes_to_one_side_of_the_fusion(spark, sf, monkeypatch):
     catalog.q39b_layout_fusion(spark, sf)
     dets, ruled = ([tuple(r) for r in x.select("page", "ord").collect()] for x in sides)
     assert sorted(dets + ruled) == sorted(tuple(r) for r in derived(spark, sf, BOXES).select("page", "id").collect())
+
+
+def test_whole_texts_of_conversations(spark, tmp_path):
+    long = "word " * 50 + "end"  # 253 characters
+    rows = [(c, t, "assistant", f"{t} {long}") for c in (1, 2) for t in (0, 1, 2, 3, 104)]
+    path = _conversations(spark, tmp_path, rows)
+    assert {tuple(r) for r in catalog.q13b_header_first_nonnull_whole(spark, path).collect()} == {(c, f"104 {long}", f"0 {long}") for c in (1, 2)}
+    got = {(r["conv_id"], r["turn"]): tuple(r)[2:] for r in catalog.q46b_sections_whole(spark, path).collect()}
+    want = {0: (f"0 {long}", None, "second"), 1: (f"just 1 {long}", None, None), 2: (None, f"2 {long}\nmore", None), 3: (None, None, None), 104: (f"104 {long}", None, "second")}
+    assert got == {(c, t): want[t] for c, t, _, _ in rows}
+
+
+def test_long_text_is_no_caption_title(spark, tmp_path):
+    rows = [(2, 0, "user", "a"), (2, 1, "user", "b"), (2, 2, "user", "c"), (2, 3, "user", "d" * 300), (6, 0, "user", "a"), (6, 1, "user", "b"), (6, 2, "user", "c"), (6, 3, "user", "d" * 150)]
+    got = {r["doc"]: r["alt"] for r in catalog.q40b_captions_neighbours_whole(spark, _conversations(spark, tmp_path, rows)).collect()}
+    assert got == {2: "Рисунок 2", 6: "Рисунок 2 – plain " + "d" * 150}

@@ -10,7 +10,8 @@ never sorted.
 
 The document at the boundary does not fit and stays out. What is left of the budget is
 given to further passes of the same kind behind the boundary, each among documents no
-larger than its rest, so a source misses its target by a small part of one document.
+larger than its rest, so a source with ids of its own misses its target by a small part of one
+document. A repeated id that doesn't fit as a whole stays out, and passes go on behind it.
 
 Defined cases. Null text: size 0. Null source: a source of its own, last in
 order. Null doc_id: hashed as the empty text. Rows of one doc_id have one hash and
@@ -86,8 +87,8 @@ def targets(sized: DataFrame, weights: tuple = WEIGHTS, max_repeat: int = MAX_RE
 
 
 def thresholds(sized: DataFrame, goals: DataFrame) -> DataFrame:
-    """source, copies, target, source_size and the nested thresholds: t1..tn (largest hash taken; -1: none)
-    and r1..rn (the budget each had, in words).
+    """source, copies, target, source_size and the nested thresholds: t1..tn (largest hash taken; -1: none),
+    f1..fn (the boundary, behind which the next pass begins) and r1..rn (the budget each had, in words).
 
     Pass 1 takes hashes in order up to the last that fits the budget. What is left of the
     budget is smaller than the next document; pass 2 goes on behind it, among documents no
@@ -100,14 +101,16 @@ def thresholds(sized: DataFrame, goals: DataFrame) -> DataFrame:
 
 
 def _candidates(k: int):
-    """Rows open to pass k: behind the threshold of the pass before, and no larger than the rest."""
-    return (F.col("h") > (F.col(f"t{k - 1}") if k > 1 else F.lit(-1))) & (F.col("size") <= F.col(f"r{k}"))
+    """Rows open to pass k: behind the boundary of the pass before, and no larger than the rest."""
+    return (F.col("h") > (F.col(f"f{k - 1}") if k > 1 else F.lit(-1))) & (F.col("size") <= F.col(f"r{k}"))
 
 
 def _one_pass(sized: DataFrame, state: DataFrame, k: int) -> DataFrame:
     low = F.lit(-1).cast("long") if k == 1 else F.col(f"t{k - 1}")
     state = state.withColumn("prefix", F.lit(0).cast("long")).withColumn("before", F.lit(0).cast("long"))
-    state = stored(state.withColumn("threshold", F.when(F.col(f"r{k}") <= 0, low)), "goals")
+    behind = low if k == 1 else F.col(f"f{k - 1}")
+    spent = F.col(f"r{k}") <= 0
+    state = stored(state.withColumn("threshold", F.when(spent, low)).withColumn("behind", F.when(spent, behind)), "goals")
     columns = state.columns
     for shift in range(HASH_BITS - LEVEL_BITS, -1, -LEVEL_BITS):
         open_ = state.filter("threshold IS NULL").withColumnRenamed("source", "_s")
@@ -115,7 +118,7 @@ def _one_pass(sized: DataFrame, state: DataFrame, k: int) -> DataFrame:
         wanted = same & _candidates(k)
         if shift < HASH_BITS - LEVEL_BITS:
             wanted &= F.shiftright(F.col("h"), shift + LEVEL_BITS) == F.col("prefix")
-        keys = open_.select("_s", "prefix", *[f"t{i}" for i in range(1, k)], f"r{k}")
+        keys = open_.select("_s", "prefix", *[f"f{i}" for i in range(1, k)], f"r{k}")
         hist = (
             sized.join(keys, wanted)
             .groupBy("source", F.shiftright(F.col("h"), shift).alias("bucket"))
@@ -133,6 +136,12 @@ def _one_pass(sized: DataFrame, state: DataFrame, k: int) -> DataFrame:
         )
         state = stored(
             state.join(passed, same, "left")
+            .withColumn(
+                "behind",
+                F.when(F.col("behind").isNotNull(), F.col("behind"))
+                .when(F.col("x").isNull(), F.lit(ALL))
+                .when(F.col("x.lo") == F.col("x.hi"), F.col("x.hi")),
+            )
             .withColumn(
                 "threshold",
                 F.when(F.col("threshold").isNotNull(), F.col("threshold"))
@@ -148,7 +157,7 @@ def _one_pass(sized: DataFrame, state: DataFrame, k: int) -> DataFrame:
             break
     # what lies before the boundary is what the pass takes; where the budget held all, nothing is left to take
     rest = F.when((F.col(f"r{k}") <= 0) | (F.col("threshold") == ALL), F.lit(0)).otherwise(F.col(f"r{k}") - F.col("before"))
-    return state.withColumn(f"r{k + 1}", rest.cast("long")).withColumnRenamed("threshold", f"t{k}").drop("prefix", "before")
+    return state.withColumn(f"r{k + 1}", rest.cast("long")).withColumnRenamed("threshold", f"t{k}").withColumnRenamed("behind", f"f{k}").drop("prefix", "before")
 
 
 def _times():

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import bpe, mixing, quality, simhash
-from quire.llm.common import stored, table
+from quire.llm.common import fresh_path, passing, remove, table
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = fresh_path(spark, name)
+        with passing():
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        if last:
+            remove(spark, last)
+        docs, last = spark.read.schema(out.schema).parquet(path), path
     return docs

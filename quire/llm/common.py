@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -16,26 +20,50 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 _written: list[tuple[SparkSession, str]] = []
+_scope = threading.local()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir, or one of our own where unset."""
+    """Folder that driver and executors share: spark.checkpoint.dir; one of our own where unset, on one machine only."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     if not sc.getCheckpointDir():
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="quire-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; it is removed when the driver's Python ends."""
+    """A new path in the shared folder; it is removed when the driver's Python ends, or with the ``passing`` around it."""
     path = f"{shared_dir(spark)}/quire-{name}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
+    getattr(_scope, "written", _written).append((spark, path))
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def passing() -> Iterator[None]:
+    """What this thread writes inside is removed at the end: for work whose result is written elsewhere by then."""
+    outer = getattr(_scope, "written", None)
+    _scope.written = inner = []
+    try:
+        yield
+    finally:
+        if outer is None:
+            del _scope.written
+        else:
+            _scope.written = outer
+        for spark, path in inner:
+            remove(spark, path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
@@ -56,9 +84,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def _remove() -> None:
     for spark, path in _written:
         try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            remove(spark, path)
         except Exception:  # noqa: BLE001  the session may have ended
             return
 
@@ -88,15 +114,20 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+MEMO_BYTES, ENTRY_BYTES = 24 << 20, 110  # of a table; of an entry's place in it
+
+
 class Memo(dict):
-    """A dict that computes what it lacks and starts anew when it holds ``limit`` entries."""
+    """A dict that computes what it lacks and starts anew when its entries hold ``budget`` bytes."""
 
-    def __init__(self, compute, limit: int):
+    def __init__(self, compute, budget: int = MEMO_BYTES):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.budget, self.used = compute, budget, 0
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        if self.used >= self.budget:
             self.clear()
+            self.used = 0
         value = self[key] = self.compute(key)
+        self.used += getsizeof(key) + getsizeof(value) + ENTRY_BYTES
         return value

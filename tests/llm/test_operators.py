@@ -111,26 +111,46 @@ def codec():
     return bpe.codec(*bpe.default_vocabulary())
 
 
-def test_bpe_equals_the_library(codec):
+@pytest.fixture(scope="module")
+def library(codec):
     import tiktoken
 
-    own = tiktoken.Encoding("own", pat_str=bpe.default_vocabulary()[1], mergeable_ranks=codec.transducer.ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=bpe.default_vocabulary()[1], mergeable_ranks=codec.transducer.ranks, special_tokens={})
+
+
+LONG = ["a" * 50_000, "ab" * 20_000, " " * 5000 + "x", "the " * 20_000, "中文字" * 3000, "aé🙂" * 900, "x" * 255, "y" * 257]
+
+
+def test_bpe_equals_the_library(codec, library):
     r = random.Random(3)
     letters = " \n\t\x0b\x1c\x85\xa0　aabcdeeeinstrtho'sldmllvé1239!!##..🙂中文а́ßÜ"
-    for _ in range(3000):
-        t = "".join(r.choice(letters) for _ in range(r.randrange(80)))
-        ids = np.frombuffer(codec.encode(t), "<u4").tolist()
-        assert ids == own.encode_ordinary(t)
-        assert codec.decode_bytes(codec.encode(t)) == t.encode()
-        assert "".join(codec.decode_stream(ids)) == t
-    for t in ["a" * 50_000, "ab" * 20_000, " " * 5000 + "x", "the " * 20_000]:
-        assert np.frombuffer(codec.encode(t), "<u4").tolist() == own.encode_ordinary(t)
+    texts = ["".join(r.choice(letters) for _ in range(r.randrange(80))) for _ in range(3000)] + LONG
+    for at in range(0, len(texts), 700):
+        for t, ids in zip(texts[at : at + 700], codec.encode_all(texts[at : at + 700])):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(t)
+            assert "".join(codec.decode_stream(np.frombuffer(ids, "<u4").tolist())) == t
+            assert codec.digests(ids)[1] == hashlib.sha256(t.encode()).hexdigest()
+
+
+def test_bpe_gives_out_long_words_early(codec, library):
+    """Tokens come while the word is read, from a window of bounded size."""
+    for t in LONG[:2] + LONG[4:5]:
+        parts = list(codec.transducer.stream(t.encode()))
+        assert np.frombuffer(b"".join(parts), "<u4").tolist() == [i for w in codec.find(t) for i in library.encode_ordinary(w)]
+        assert len(parts) >= len(t.encode()) // bpe.LOOK and len(parts[-1]) < 1024
 
 
-def test_bpe_tables_may_start_anew(codec):
+def test_bpe_tables_may_start_anew(codec, library, monkeypatch):
     small = bpe.Transducer(codec.transducer.ranks, limit=20)
     for w in [b"hello", b"tokenization", b"overwhelmingly"] * 20:
-        assert small.encode(w) == codec.transducer.encode(w)
+        assert small.encode(w) == library.encode_ordinary(w.decode())
+    monkeypatch.setattr(bpe, "PIECES_BYTES", 4000)
+    c = bpe.Codec(*bpe.default_vocabulary())
+    r = random.Random(7)
+    for _ in range(30):
+        t = " ".join(f"w{r.randrange(60)}-{r.choice('abc')}" for _ in range(50))
+        assert np.frombuffer(c.encode(t), "<u4").tolist() == library.encode_ordinary(t)
+    assert len(c.pieces) < 60
 
 
 def test_utf8_stream():
@@ -142,12 +162,17 @@ def test_utf8_stream():
         assert s.feed(data[:cut]) + s.feed(data[cut:]) + s.close() == data.decode("utf-8", "replace")
 
 
-def test_bpe_rows(spark, rows):
+def test_bpe_rows(spark, rows, library):
+    rows = rows + [(130, t, "long") for t in LONG]
     got = bpe.encoded(documents(spark, rows))
     back = sorted((r["doc_id"] is None, r["doc_id"], r["text"]) for r in bpe.decoded(got).collect() if r["doc_id"] is not None)
     assert back == sorted((False, i, t or "") for i, t, _ in rows if i is not None)
-    for r in got.collect():
-        assert r["n_tokens"] * 4 == len(r["ids"]) and r["ids_sha256"] == hashlib.sha256(r["ids"]).hexdigest()
+    want = []
+    for i, t, _ in rows:
+        ids = np.array(library.encode_ordinary(t or ""), "<u4")
+        want.append((str(i), len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
+    assert sorted((str(r["doc_id"]), r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in got.collect()) == sorted(want)
+    assert all(r["n_tokens"] * 4 == len(r["ids"]) for r in got.collect())
 
 
 # 3

@@ -2,9 +2,10 @@
 
 A document is the mean of learned vectors, one for each occurrence of a word and of
 each of its character n-grams (of ``<word>``, in bytes), hashed into a fixed number of
-buckets. A word that repeats the one before it adds the features of one fixed mark, the
-word bigram of which only the repetition is kept. A linear layer and a softmax give the class probabilities. Vectors and layer
-are trained together by stochastic gradient descent in numpy.
+buckets, and one for each window of two and of three words, by the window's pattern of equal
+words (``aa ab``, ``aaa aab aba abb abc``): word n-grams up to renaming, which generalise to
+words never seen. A linear layer and a softmax give the class probabilities. Vectors and
+layer are trained together by stochastic gradient descent in numpy.
 
 Training reads a bounded sample: the ``MAX_TRAIN`` labelled documents with the lowest
 md5 of their id among those not held out. Executors turn their whole texts into bucket
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from operator import eq
+from operator import and_, eq
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,8 @@ from .common import Memo, as_bytes, crc_mod
 FOLDS, THRESHOLD = 5, 0.3
 BUCKETS, DIM, MIN_N, MAX_N = 1 << 17, 8, 3, 4
 MAX_TRAIN, EPOCHS, RATE = 2500, 6, 2.0
-WORDS_KEPT, KEPT_BYTES = 300_000, 48
-_AGAIN = b"\n=="  # no word holds white space
+KEPT_BYTES = 48
+PATTERNS = ("aa", "ab", "aaa", "aab", "aba", "abb", "abc")
 
 
 def word_features(word: bytes) -> list[int]:
@@ -50,14 +51,34 @@ def word_features(word: bytes) -> list[int]:
     return out
 
 
+def pattern_features() -> list[int]:
+    """The bucket of each pattern."""
+    from xxhash import xxh32_intdigest as digest
+
+    return [digest(p, 3) % BUCKETS for p in PATTERNS]
+
+
+def pattern_counts(words: list[bytes]) -> list[int]:
+    """How many windows of two and three words have each pattern."""
+    n2, n3 = max(len(words) - 1, 0), max(len(words) - 2, 0)
+    near = list(map(eq, words, words[1:]))
+    both = sum(map(and_, near, near[1:]))
+    aa = sum(near)
+    aab, abb = (aa - both - near[-1], aa - both - near[0]) if n3 else (0, 0)
+    aba = sum(map(eq, words, words[2:])) - both  # first and third are equal: aaa or aba
+    return [aa, n2 - aa, both, aab, aba, abb, n3 - both - aab - aba - abb]
+
+
 def counts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a text, ascending, and how often each occurs."""
     words = text.split()
     total: Counter = Counter()
-    for word, n in (Counter(words) + Counter({_AGAIN: sum(map(eq, words, words[1:]))})).items():
+    for word, n in Counter(words).items():
         for f in word_features(word):
             total[f] += n
-    order = sorted(total)
+    for f, n in zip(pattern_features(), pattern_counts(words)):
+        total[f] += n
+    order = sorted(f for f, n in total.items() if n)
     return np.array(order, np.int32), np.array([total[f] for f in order], np.int32)
 
 
@@ -132,13 +153,14 @@ def _scorer(weights: np.ndarray, bias: float):
         f = word_features(word)
         return complex(float(weights[f].sum()), len(f))
 
-    known, again = Memo(weigh, WORDS_KEPT), weigh(_AGAIN)
+    known, patterns = Memo(weigh), weights[pattern_features()].astype(float).tolist()
 
     def score(text: bytes) -> float:
         # the real part sums weights, the imaginary part counts features
         words = text.split()
         total = sum([known[w] if len(w) <= KEPT_BYTES else weigh(w) for w in words])
-        total += sum(map(eq, words, words[1:])) * again
+        if words:
+            total += sum(complex(n * w, n) for n, w in zip(pattern_counts(words), patterns))
         z = bias + (total.real / total.imag if total else 0.0)
         return float(1 / (1 + np.exp(-z)))
 

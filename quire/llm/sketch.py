@@ -2,11 +2,11 @@
 
 A sketch keeps every 5-word shingle hash below a fixed fraction of the hash range, so
 its size follows the document's, two sketches of very unequal documents are comparable,
-and the union of sketches is the sketch of the union. A short document would keep few
-hashes or none; a sketch therefore also keeps its ``FLOOR`` smallest hashes, and
-texts with up to ``FLOOR`` shingles are kept whole. The union rule still holds if the
-``FLOOR`` smallest are taken again. Two sketches are compared below the smaller of
-their thresholds, under which both are complete.
+and the union of sketches is the sketch of the union. ``FRACTION`` is set for documents of
+some hundred words, which keep some dozens of hashes. Only a text that would keep none
+keeps its ``FLOOR`` = 1 smallest hash; the union rule still holds if the smallest is taken
+again. Two sketches are compared below the smaller of their thresholds, under which both
+are complete.
 
 Shingles are of words with A-Z lower-cased; a text of fewer than five words is one
 shingle. A fingerprint is written as the hashes in ascending order, hex, 16 digits each.
@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 
 from .common import Memo, mix64
 
-SHINGLE, FRACTION, FLOOR = 5, 1 / 64, 128
-WORDS_KEPT, KEPT_BYTES = 300_000, 48
+SHINGLE, FRACTION, FLOOR = 5, 1 / 4, 1
+KEPT_BYTES = 48
 RANGE_ROWS, MAX_RANGES = 500, 20_000
 _ALL = 2**64 - 1
 
@@ -44,7 +44,7 @@ _ALL = 2**64 - 1
 def _hasher():
     from xxhash import xxh64_intdigest as digest
 
-    known = Memo(digest, WORDS_KEPT)
+    known = Memo(digest)
     return lambda words: np.fromiter((known[w] if len(w) <= KEPT_BYTES else digest(w) for w in words), np.uint64, len(words))
 
 
@@ -60,7 +60,7 @@ def sketch(text: bytes, hash_words, fraction: float = FRACTION, floor: int = FLO
         out = out * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - k + 1 + i]
         out ^= out >> np.uint64(29)
     out = np.unique(mix64(out))
-    below = int(np.searchsorted(out, np.uint64(int(fraction * 2**64))))
+    below = int(np.searchsorted(out, np.uint64(min(int(fraction * 2**64), _ALL))))
     return out[: max(below, floor)]
 
 

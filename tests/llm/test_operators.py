@@ -69,7 +69,7 @@ def test_search_ties_copies_and_unusable(spark):
     bad = [(900, None), (920, [0.0] * 16), (940, [float("nan")] * 16), (960, [float("inf")] + [0.0] * 15), (980, [None] * 16), (None, x[0].tolist()), (1000, [1.0] * 3)]
     df = spark.createDataFrame(vectors + bad, "vec_id long, embedding array<float>")
     got = {}
-    for q, rank, v, s in ann.search(df, df.filter("vec_id % 20 = 0"), probe=1.0).orderBy("query_id", "rank").collect():
+    for q, rank, v, s in ann.search(df, df.filter("vec_id % 20 = 0"), cover=1.0).orderBy("query_id", "rank").collect():
         got.setdefault(q, []).append((rank, v, s))
     ids = np.arange(300)
     want = ann.exact(x.astype(float), ids, x[::20].astype(float), ids[::20])
@@ -92,6 +92,56 @@ def test_search_recall_and_few(spark, sf):
     assert ann.search(few, few).count() == 6
 
 
+def _vectors(clusters, n, dims=48, seed=4):
+    r = np.random.default_rng(seed)
+    x = r.standard_normal((n, dims))
+    if clusters:
+        x = r.standard_normal((clusters, dims))[r.integers(0, clusters, n)] * 2 + x * 0.7
+    return x / np.linalg.norm(x, axis=1, keepdims=True) * r.uniform(0.9, 1.1, (n, 1))
+
+
+@pytest.mark.parametrize("clusters, recall, share, probed", [(0, 0.93, 0.5, 1.0), (150, 0.95, 0.05, 0.2)])
+def test_scan_at_fifty_thousand(clusters, recall, share, probed):
+    """Recall against brute force, and the pairs read to the end as a share of all."""
+    n, k = 50_000, 20
+    x = _vectors(clusters, n)
+    centres = ann.fit_centres(x[:20_000], 224)
+    probes = ann.enough_probes(x[:20_000], centres, k)
+    assert probes <= probed * len(centres)
+    lists = (x @ centres.T).argmax(1)
+    order = np.argsort(lists, kind="stable")
+    q = x[::250]
+    near = q @ centres.T
+    probe = np.zeros(near.shape, bool)
+    np.put_along_axis(probe, np.argsort(-near, axis=1)[:, :probes], True, 1)
+    read = []
+    who, at, score = ann.scan(x[order], lists[order], order, q, probe, k, ann.rotation(x.shape[1]), nearest=near.argmax(1), read=read)
+    want = np.argsort(-(q @ x.T), axis=1)[:, :k]
+    assert np.mean([len(set(order[at[who == i]]) & set(w)) / k for i, w in enumerate(want)]) >= recall
+    assert read[0] / (len(q) * n) <= share
+
+
+@pytest.mark.parametrize("clusters", [0, 150])
+def test_search_at_fifty_thousand(spark, clusters):
+    """The whole operator, over many cells and both rounds."""
+    n = 50_000
+    x = _vectors(clusters, n)
+    df = spark.createDataFrame([(i, v.tolist(), "extra") for i, v in enumerate(x)], "vec_id long, embedding array<double>, cells string")
+    got = ann.search(df, df.filter("vec_id % 500 = 0")).toPandas()
+    want = ann.exact(x, np.arange(n), x[::500], np.arange(0, n, 500))
+    found = got.groupby("query_id")["vec_id"].agg(set)
+    assert np.mean([len(found[q] & {v for v, _ in w}) / 20 for q, w in zip(range(0, n, 500), want)]) >= 0.93
+    assert got.groupby("query_id")["rank"].agg(list).map(lambda r: sorted(r) == list(range(1, 21))).all()
+    assert np.allclose(got["score"], (x[got["query_id"]] * x[got["vec_id"]]).sum(1), atol=1e-12)
+
+
+def test_search_of_ids_with_two_vectors(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.1]), (3, [0.1, 1.0]), (3, [0.1, 1.0])], "vec_id long, embedding array<double>")
+    got = {(q, v, round(s, 3)) for q, _, v, s in ann.search(df, df).collect()}
+    assert {(1, 2, 1.0), (1, 2, 0.1), (1, 3, 1.0), (1, 3, 0.1), (2, 1, 1.0), (2, 3, 0.2), (3, 1, 1.0)} <= got
+    assert all(q != v for q, v, _ in got)
+
+
 def test_adaptive_scan_keeps_the_best():
     r = np.random.default_rng(2)
     x, q = r.standard_normal((6000, 64)), r.standard_normal((40, 64))
@@ -101,6 +151,10 @@ def test_adaptive_scan_keeps_the_best():
     assert np.allclose(score, (q[who] * x[at]).sum(1)) and (np.bincount(who) == 10).all()
     hits = [len(set(np.argsort(-(x @ v))[:10]) & set(at[who == i].tolist())) for i, v in enumerate(q)]
     assert np.mean(hits) >= 9.5
+    # a bound that is given is kept: only what reaches it comes back
+    top = np.sort(q @ x.T, axis=1)[:, -3]
+    who, at, score = ann.scan(x, lists, np.arange(6000), q, probes, 10, ann.rotation(64), bound=top)
+    assert (score >= top[who] - 1e-9).all() and len(who) >= 100
 
 
 # 2

@@ -151,7 +151,7 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> tupl
 def _scorer(weights: np.ndarray, bias: float):
     def weigh(word: bytes) -> complex:
         f = word_features(word)
-        return complex(float(weights[f].sum()), len(f))
+        return complex(float(weights[f].sum(dtype=np.float64)), len(f))
 
     known, patterns = Memo(weigh), weights[pattern_features()].astype(float).tolist()
 

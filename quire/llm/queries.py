@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe, chat, kneser, merkle, mixing, quality, rollup, simhash, sketch
-from .common import fresh_path, table
+from .common import fresh_path, stored, table
 
 
 def op1_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,15 +30,17 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after all documents came in, some left (id mod 7 = 3) and some were revised
-    (id mod 7 = 5: the text twice), with the second batch committed twice."""
+    (id mod 7 = 5: the text twice), with the second batch committed twice, and after compaction."""
     documents = table(spark, sf_dir, "documents")
+    counts = stored(rollup.token_counts(documents), "counts")
     totals = rollup.Rollup(spark, fresh_path(spark, "rollup"))
-    totals.commit("1", rollup.inserts(rollup.token_counts(documents)))
-    gone, old = documents.filter("doc_id % 7 = 3"), documents.filter("doc_id % 7 = 5")
-    new = rollup.token_counts(old, F.concat_ws(" ", "text", "text"))
-    batch = rollup.deletes(rollup.token_counts(gone)).unionByName(rollup.revisions(rollup.token_counts(old), new))
+    totals.commit("1", rollup.inserts(counts))
+    twice = documents.filter("doc_id % 7 = 5").withColumn("text", F.concat_ws(" ", "text", "text"))
+    batch = rollup.deletes(counts.filter("doc_id % 7 = 3"))
+    batch = batch.unionByName(rollup.revisions(counts.filter("doc_id % 7 = 5"), rollup.token_counts(twice)))
     for _ in range(2):
         totals.commit("2", batch)
+    totals.compact("1")
     return totals.totals()
 
 
@@ -133,12 +135,6 @@ FROM sized d JOIN p{mixing.PASSES} s ON d.source IS NOT DISTINCT FROM s.source""
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mix_sources": _mix_sql(),
-    "op5_token_rollup": " UNION ALL ".join(
-        f"""SELECT source, lang, '{name}' AS tokenizer, count(*)::BIGINT AS documents,
-  sum(len(regexp_extract_all(coalesce(CASE WHEN doc_id % 7 = 5 THEN concat_ws(' ', text, text) ELSE text END, ''), '{pattern}')))::BIGINT AS tokens
-FROM documents WHERE doc_id IS NULL OR doc_id % 7 <> 3 GROUP BY source, lang"""
-        for name, pattern in rollup.TOKENIZERS.items()
-    ),
     "op8_warc_audit": f"""
 WITH sized AS (SELECT coalesce(floor(page_id / {merkle.FILE_RECORDS}.0), -1)::BIGINT AS file, page_id, url, html,
   strlen('WARC/1.0' || 'rn' || 'WARC-Type: resource' || 'rn' || 'WARC-Target-URI: ' || coalesce(url, '') || 'rn' || 'WARC-Record-ID: <urn:page:'

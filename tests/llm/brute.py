@@ -85,6 +85,47 @@ def mix(docs):
         yield s, copies, once, size[s], target[s], [r for r in rows if r[1] == s]
 
 
+def sketch(text, fraction):
+    """Shingle hashes below the fraction of the range, or the smallest one."""
+    w, mask = (text or "").encode().lower().split(), 2**64 - 1
+    if not w:
+        return set()
+    found = set()
+    for i in range(max(1, len(w) - 4)):
+        h = 0
+        for x in w[i : i + 5]:
+            h = (h * 0x9E3779B97F4A7C15 + xxhash.xxh64_intdigest(x)) & mask
+            h ^= h >> 29
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+            h = (h ^ h >> shift) * factor & mask
+        found.add(h)
+    return {h for h in found if h < fraction * 2**64} or {min(found)}
+
+
+def likeness(a, b, fraction):
+    if not a or not b:
+        return float(len(a) == len(b))
+    top = min(max(max(s), fraction * 2**64 - 1) if len(s) == 1 else fraction * 2**64 - 1 for s in (a, b))
+    a, b = {h for h in a if h <= top}, {h for h in b if h <= top}
+    return len(a & b) / len(a | b) if a and b else float(a == b)
+
+
+def features(text, buckets):
+    """Of a text: the bucket of every feature occurrence, by the classifier's rule."""
+    w, out = (text or "").encode().split(), []
+    for x in w:
+        out.append(xxhash.xxh32_intdigest(x, 1) % buckets)
+        m = b"<" + x + b">"
+        out += [xxhash.xxh32_intdigest(m[i : i + n], 2) % buckets for n in (3, 4) for i in range(len(m) - n + 1)]
+    for n in (2, 3):
+        for i in range(len(w) - n + 1):
+            seen, pattern = {}, ""
+            for x in w[i : i + n]:
+                pattern += seen.setdefault(x, "abc"[len(seen)])
+            out.append(xxhash.xxh32_intdigest(pattern.encode(), 3) % buckets)
+    return out
+
+
 def kneser(train, texts):
     """log10 probability of each text under an interpolated modified Kneser-Ney bigram model."""
     from collections import Counter

@@ -281,21 +281,41 @@ def test_sketches_estimate_and_merge():
     assert (sketch.read(sketch.written(sa)) == sa).all()
 
 
-def test_fingerprints_follow_order(spark, rows):
-    keyed = [x for x in rows if x[0] is not None and x[0] != 121]
-    got = {r["doc_id"]: r for r in sketch.fingerprinted(documents(spark, keyed)).collect()}
-    order = sorted(keyed)
-    assert len(got) == len(order)
-    hash_words = sketch._hasher()
-    for (i, t, _), (_, after, _) in zip(order, order[1:] + order[:1]):
-        t, after = t or "", after or ""
-        edited = t[: len(t) - len(t) // 4] + after[: len(t) // 4]
-        own, other, following = (sketch.sketch(x.encode(), hash_words) for x in (t, edited, after))
-        r = got[i]
-        assert (r["n_chars"], r["edited_sha256"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
-        assert (r["fingerprint"], r["edited_fingerprint"]) == (sketch.written(own), sketch.written(other))
-        assert (r["near_edited"], r["near_next"]) == (sketch.compare(own, other)[0], sketch.compare(own, following)[0])
-    assert got[110]["fingerprint"] == got[111]["fingerprint"] and got[115]["fingerprint"] == ""
+def test_fingerprints_equal_plain_form(spark, rows):
+    """Null, empty, short, long, repeated and near texts; rows without an id come first, in either order."""
+    got = sorted(
+        (str(r["doc_id"]), r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"], round(r["near_edited"], 9), round(r["near_next"], 9))
+        for r in sketch.fingerprinted(documents(spark, rows)).collect()
+    )
+    hexed = lambda s: "".join(f"{h:016x}" for h in sorted(s))
+
+    def want(order):
+        for (i, t, _), (_, after, _) in zip(order, order[1:] + order[:1]):
+            t, after = t or "", after or ""
+            edited = t[: len(t) - len(t) // 4] + after[: len(t) // 4]
+            own, other, following = (brute.sketch(x, sketch.FRACTION) for x in (t, edited, after))
+            near = [round(brute.likeness(own, x, sketch.FRACTION), 9) for x in (other, following)]
+            yield (str(i), len(t), hashlib.sha256(edited.encode()).hexdigest(), hexed(own), hexed(other), *near)
+
+    none = [x for x in rows if x[0] is None]
+    rest = sorted((x for x in rows if x[0] is not None), key=lambda x: x[0])
+    assert got in [sorted(want(first + rest)) for first in (none, none[::-1])]
+
+
+def test_fingerprints_tell_copies_and_others(spark):
+    """The threshold rules: nearly every document keeps more than one hash, and copies, near copies and others come apart."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = sketch.fingerprinted(d).collect()
+    assert np.mean([len(r["fingerprint"]) > 16 for r in rows]) > 0.95
+    text = dict(d.select("doc_id", "text").collect())
+    error = [abs(r["near_edited"] - brute.likeness(*(brute.sketch(t, 1) for t in _edit(text, r["doc_id"])), 1)) for r in rows[:300]]
+    assert np.mean(error) < 0.06
+
+
+def _edit(text, i):
+    after = text[min((j for j in text if j > i), default=min(text))] or ""
+    t = text[i] or ""
+    return t, t[: len(t) - len(t) // 4] + after[: len(t) // 4]
 
 
 def test_fingerprints_over_many_ranges(spark, monkeypatch):
@@ -311,27 +331,96 @@ def test_fingerprints_over_many_ranges(spark, monkeypatch):
 # 5
 
 
+def _token_totals(rows, text=lambda i, t: t):
+    """By source, language and version: documents and tokens, as the library counts them."""
+    out = {}
+    for version in rollup.TOKENIZERS:
+        e = rollup._encoding(version)
+        for i, t, s in rows:
+            n, k = out.get((s, "en", version), (0, 0))
+            out[s, "en", version] = n + 1, k + len(e.encode_ordinary(text(i, t) or ""))
+    return sorted((str(k), *v) for k, v in out.items())
+
+
+def _read(totals):
+    return sorted((str((x["source"], x["lang"], x["tokenizer"])), x["documents"], x["tokens"]) for x in totals.collect())
+
+
 def test_rollup_is_idempotent(spark, rows, tmp_path):
-    d = documents(spark, rows)
+    d = documents(spark, rows).withColumn("documents", F.lit("x")).withColumn("tokens", F.lit(7)).withColumn("tokenizer", F.lit("mine"))
     r = rollup.Rollup(spark, f"file://{tmp_path}/r")
     assert r.totals().count() == 0
+    r.commit("none", rollup.inserts(rollup.token_counts(d.limit(0))))
+    assert r.totals().count() == 0
     counts = rollup.token_counts(d)
     r.commit("a", rollup.inserts(counts))
-    before = rows_of_spark(r.totals())
+    assert _read(r.totals()) == _token_totals(rows)
     r.commit("a", rollup.inserts(counts))
-    assert rows_of_spark(r.totals()) == before
-    words = {}
-    for _, t, s in rows:
-        n, k = words.get(s, (0, 0))
-        words[s] = n + len(brute.words(t)), k + 1
-    assert {(x["source"], x["tokens"], x["documents"]) for x in r.totals().filter("tokenizer = 'words-1'").collect()} == {(s, *v) for s, v in words.items()}
+    assert _read(r.totals()) == _token_totals(rows)
     r.commit("b", rollup.deletes(rollup.token_counts(d.filter("source = 's0'"))))
-    r.commit("c", rollup.revisions(counts.filter("doc_id = 118"), counts.filter("doc_id = 118").withColumn("tokens", F.lit(50).cast("long"))))
-    after = rows_of_spark(r.totals())
+    one = counts.filter("doc_id = 118")
+    r.commit("c", rollup.revisions(one, one.withColumn("tokens", F.lit(None).cast("long"))))  # a null count is 0
+    r.commit("d", rollup.revisions(one.withColumn("tokens", F.lit(0).cast("long")), one))
+    left = _token_totals([x for x in rows if x[2] != "s0"])
+    assert _read(r.totals()) == left
+    for _ in range(2):
+        r.compact("1")
+        r.commit("b", rollup.inserts(counts))  # late repetition of a folded batch
+        assert _read(r.totals()) == left and r.batches() == ["batch=compact-1"]
+    r.commit("e", rollup.inserts(one))
+    r.compact("2")
+    r.commit("a", rollup.inserts(counts))
+    assert r.batches() == ["batch=compact-2"]
+    r.commit("f", rollup.deletes(one))
+    assert _read(r.totals()) == left
+
+
+@pytest.mark.parametrize("crash", ["write", "rename", "delete"])
+def test_rollup_survives_a_crash(spark, rows, tmp_path, monkeypatch, crash):
+    """Whatever step of a compaction fails, totals stay, and the next one ends the work."""
+    r = rollup.Rollup(spark, f"file://{tmp_path}/r")
+    counts = rollup.token_counts(documents(spark, rows))
+    r.commit("a", rollup.inserts(counts))
+    r.commit("b", rollup.deletes(counts.filter("source = 's1'")))
+    left = _read(r.totals())
+    real, fs_of = rollup.Rollup._placed, rollup.Rollup._fs
+
+    class Fails:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            if name == crash:
+                raise RuntimeError("lost")
+            return getattr(self.fs, name)
+
+    def placed(self, fs, at, sums, name, folds=None):
+        if crash == "write":
+            sums.write.parquet(f"{self.path}/_part-half/sums")
+            raise RuntimeError("lost")
+        real(self, fs, at, sums, name, folds)
+
+    with monkeypatch.context() as m:
+        m.setattr(rollup.Rollup, "_placed", placed)
+        m.setattr(rollup.Rollup, "_fs", lambda self: (Fails(fs_of(self)[0]), fs_of(self)[1]))
+        with pytest.raises(RuntimeError):
+            r.compact("1")
+    assert _read(r.totals()) == left
     r.compact("1")
-    r.commit("b", rollup.inserts(counts))  # late repetition of a folded batch
-    assert rows_of_spark(r.totals()) == after
-    assert not [x for x in r.totals().collect() if x["source"] == "s0"]
+    assert _read(r.totals()) == left and r.batches() == ["batch=compact-1"]
+
+
+def test_rollup_query(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source", "lang").collect()
+    want = {}
+    for version in rollup.TOKENIZERS:
+        e = rollup._encoding(version)
+        for i, t, s, g in d:
+            if i % 7 != 3:
+                n, k = want.get((s, g, version), (0, 0))
+                want[s, g, version] = n + 1, k + len(e.encode_ordinary(f"{t} {t}" if i % 7 == 5 else t))
+    got = {(r["source"], r["lang"], r["tokenizer"]): (r["documents"], r["tokens"]) for r in queries.QUERIES["op5_token_rollup"](spark, sf).collect()}
+    assert got == want
 
 
 # 6
@@ -360,6 +449,22 @@ def test_quality_odd_rows(spark, rows):
     assert {r["score"] for r in none.collect()} == {0.5}
 
 
+def test_quality_scores_equal_plain_form(spark, rows):
+    """A score is the logistic of the mean weight of all feature occurrences, and the bias."""
+    weights = np.random.default_rng(3).standard_normal(quality.BUCKETS).astype(np.float32) * 20
+    rows = rows + [(140, "a a a b a a b b c a c", "s"), (141, "x", "s"), (142, "x x", "s")]
+    got = sorted((str(r["doc_id"]), round(r["score"], 9)) for r in quality.scored(documents(spark, rows), (weights, 0.25)).collect())
+    want = []
+    for i, t, _ in rows:
+        f = brute.features(t, quality.BUCKETS)
+        want.append((str(i), round(1 / (1 + np.exp(-(0.25 + (weights[f].astype(float).mean() if f else 0)))), 9)))
+        ids, n = quality.counts((t or "").encode())
+        assert sorted(f) == np.repeat(ids, n).tolist()
+    assert got == sorted(want)
+    kept = quality.scored(documents(spark, rows), (weights, 0.25), keep=True).collect()
+    assert sorted((str(r["doc_id"]), r["size"], r["range"]) for r in kept) == sorted((i, "s", 3) for i, x in want if x >= quality.THRESHOLD)
+
+
 # 7
 
 

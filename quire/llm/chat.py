@@ -1,12 +1,13 @@
 """Chat formatting by prefix-target expansion, in DataFrame expressions only.
 
 Every assistant turn becomes an example of its own: all preceding turns are its
-context, and only the reply's text is trainable. A conversation of n turns has
-up to n/2 examples whose contexts overlap, so full texts would take space in the
-square of n. The output therefore keeps each rendered turn once (``segments``),
-and an example names its context by position: the segments before its own.
-``examples`` adds the context's length and the span of the loss mask in the full
-text; ``materialize`` writes the full texts out where they are wanted.
+context, and only the reply's text is trainable. ``expanded`` writes the examples out,
+context and reply, with the span of the loss mask, and what follows the last reply as
+a rest. A conversation of n turns has up to n/2 examples whose contexts overlap, so
+this takes space in the square of n. ``examples`` is the exact form for conversations
+too long for that: each rendered turn once (``segments``), the context by position.
+``digests`` reads all back from the expanded texts, and from the positional form where
+expansion would pass ``EXPANDED`` code points.
 
 Template: ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside texts and roles, one
 backslash is put between ``<`` and ``|`` of every ``<\\...\\|`` (any number of
@@ -25,8 +26,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 START, END = "<|im_start|>", "<|im_end|>"
 TARGET_ROLE = "assistant"
+EXPANDED = 1 << 25  # code points that a conversation's examples may have together
 
 
 def escape(text: Column) -> Column:
@@ -112,47 +116,90 @@ def examples(segs: DataFrame, block: int = 1024) -> DataFrame:
     )
 
 
-def materialize(segs: DataFrame) -> DataFrame:
-    """The examples with full texts: conv_id, example (from 1), text, loss_start, loss_end.
-
-    The output takes space in the square of a conversation's turns; meant for
-    conversations that fit a model's window.
-    """
+def expanded(segs: DataFrame) -> DataFrame:
+    """conv_id, example, text, loss_start, loss_end: every example in full, numbered from 1 in order of
+    turns, the loss mask as a span of ``text``; and one row more per conversation, without a span: the
+    rest behind its last reply."""
     seg = F.struct("turn", "segment", "is_target", "loss_start", "loss_end")
     per = segs.groupBy("conv_id").agg(F.array_sort(F.collect_list(seg)).alias("s"))
-    per = per.withColumn("at", F.filter(F.sequence(F.lit(0), F.size("s") - 1), lambda i: F.col("s")[i]["is_target"]))
-    ex = per.select("conv_id", "s", F.posexplode("at").alias("example", "i"))
-    prefix = F.array_join(F.transform(F.slice("s", F.lit(1), F.col("i")), lambda x: x["segment"]), "")
-    hit = F.col("s")[F.col("i")]
-    return ex.withColumn("_p", prefix).select(
+    at = F.filter(F.sequence(F.lit(0), F.size("s") - 1), lambda i: F.col("s")[i]["is_target"])
+    per = per.withColumn("at", at).withColumn("ends", F.concat("at", F.array(F.size("s"))))
+    ex = per.select("conv_id", "s", F.coalesce(F.try_element_at("at", F.lit(-1)), F.lit(-1)).alias("last"), F.posexplode("ends").alias("n", "i"))
+    rest = F.col("i") == F.size("s")
+    texts = lambda start, length: F.array_join(F.transform(F.slice("s", start, length), lambda x: x["segment"]), "")
+    hit = F.try_element_at("s", F.col("i") + 1)  # null for the rest
+    ex = ex.withColumn("_p", F.when(rest, texts(F.col("last") + 2, F.size("s"))).otherwise(texts(F.lit(1), F.col("i"))))
+    return ex.select(
         "conv_id",
-        (F.col("example") + 1).alias("example"),
-        F.concat("_p", hit["segment"]).alias("text"),
+        (F.col("n") + 1).alias("example"),
+        F.concat("_p", F.coalesce(hit["segment"], F.lit(""))).alias("text"),
         (F.length("_p") + hit["loss_start"]).alias("loss_start"),
         (F.length("_p") + hit["loss_end"]).alias("loss_end"),
     )
 
 
-def digests(segs: DataFrame) -> DataFrame:
-    """Per conversation, digests of what is read back: turns from the segments, trainable texts from the examples.
+def materialize(segs: DataFrame) -> DataFrame:
+    """The examples with full texts: conv_id, example (from 1), text, loss_start, loss_end."""
+    return expanded(segs).filter("loss_start IS NOT NULL")
+
+
+def _digested(conv_id: str, n_turns: Column, turns: Column, loss: Column, formatted: Column) -> list[Column]:
+    return [
+        F.col(conv_id).alias("conv_id"),
+        n_turns.cast("long").alias("n_turns"),
+        F.sha2(turns.cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        formatted.cast("long").alias("formatted_chars"),
+    ]
+
+
+def _from_expanded(segs: DataFrame) -> DataFrame:
+    """Turns from the last example's text and the rest, trainable texts from the span of every example."""
+    mask = F.expr("substring(text, cast(loss_start + 1 as int), cast(loss_end - loss_start as int))")
+    rest = F.col("loss_start").isNull()
+    read = expanded(segs).select("conv_id", "example", "text", rest.alias("rest"), unescape(mask).alias("m"))
+    per = read.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.when(~F.col("rest"), F.struct("example", "m")))).alias("ms"),
+        F.max_by("text", F.when(~F.col("rest"), F.col("example"))).alias("last"),
+        F.max(F.when(F.col("rest"), F.col("text"))).alias("rest"),
+    )
+    per = per.select("conv_id", F.array_join(F.transform("ms", lambda x: x["m"]), "").alias("loss"), F.concat(F.coalesce("last", F.lit("")), "rest").alias("all"))
+    # control strings are nowhere inside a turn: its end cuts the text, and its first newline ends the role
+    turns = F.filter(F.split("all", END.replace("|", r"\|") + "\n"), lambda x: x != "")
+    turns = F.transform(turns, lambda x: F.substr(x, F.lit(len(START) + 1)))
+    per = per.withColumn("turns", F.transform(turns, _turn))
+    return per.select(*_digested("conv_id", F.size("turns"), F.array_join("turns", ""), F.col("loss"), F.length("all")))
 
-    SHA-256 of a conversation needs its text in one row, so its turns are aggregated here;
-    that is the digest's need, not the formatting's."""
+
+def _turn(inner: Column) -> Column:
+    cut = F.instr(inner, "\n")
+    return F.concat(_role_in(F.substr(inner, F.lit(1), cut - 1)), F.lit("\n"), unescape(F.substr(inner, cut + 1)), F.lit("\n"))
+
+
+def _from_positions(segs: DataFrame) -> DataFrame:
+    """The same, from the segments and from the examples that name their contexts."""
     p = parsed(segs).select("conv_id", F.length("segment").cast("long").alias("n"), F.struct("turn", "segment", F.col("_role").alias("r"), F.col("_text").alias("t")).alias("x"))
     per = p.groupBy("conv_id").agg(
         F.array_sort(F.collect_list("x")).alias("xs"), F.count(F.lit(1)).alias("n_turns"), F.sum("n").alias("formatted_chars")
     )
     turns = F.array_join(F.transform("xs", lambda x: F.concat(x["r"], F.lit("\n"), x["t"], F.lit("\n"))), "")
-    per = per.select("conv_id", "n_turns", "formatted_chars", F.sha2(turns.cast("binary"), 256).alias("turns_sha256"))
     reply = F.expr("substring(target, cast(loss_start - context_chars + 1 as int), cast(loss_end - loss_start as int))")
     ex = examples(segs).select(F.col("conv_id").alias("_conv"), F.struct("context_turns", unescape(reply).alias("m")).alias("x"))
     loss = ex.groupBy("_conv").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["m"]), "").alias("_loss"))
     out = per.join(loss, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").withColumn("_loss", F.coalesce("_loss", F.lit("")))
-    return out.select(
-        "conv_id",
-        F.col("n_turns").cast("long").alias("n_turns"),
-        "turns_sha256",
-        F.length("_loss").cast("long").alias("loss_chars"),
-        F.sha2(F.col("_loss").cast("binary"), 256).alias("loss_sha256"),
-        F.col("formatted_chars").cast("long").alias("formatted_chars"),
-    )
+    return out.select(*_digested("conv_id", F.col("n_turns"), turns, F.col("_loss"), F.col("formatted_chars")))
+
+
+def digests(segs: DataFrame) -> DataFrame:
+    """Per conversation, digests of what is read back from its examples and the rest behind them.
+
+    SHA-256 of a conversation needs its text in one row, so its turns are aggregated here;
+    that is the digest's need, not the formatting's. Conversations whose examples have over
+    ``EXPANDED`` code points together are read back from the positional form."""
+    whole = F.sum(F.length("segment").cast("long")) * F.count_if("is_target")
+    long_ = stored(segs.groupBy("conv_id").agg(whole.alias("_n")).filter(F.col("_n") > EXPANDED).select(F.col("conv_id").alias("_long")), "long")
+    if long_.isEmpty():
+        return _from_expanded(segs)
+    same = F.col("conv_id").eqNullSafe(F.col("_long"))
+    return _from_expanded(segs.join(long_, same, "left_anti")).unionByName(_from_positions(segs.join(long_, same, "left_semi")))

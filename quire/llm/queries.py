@@ -54,14 +54,14 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records in which a damaged replica of all pages differs: bytes changed where the id
-    mod 97 is 5, records lost where it is 7 mod 101."""
-    ours = merkle.archive(table(spark, sf_dir, "pages"))
-    last = F.when(F.right("html", F.lit(1)) == "#", "@").otherwise("#")
-    broken = F.concat(F.expr("substring(html, 1, greatest(length(html) - 1, 0))"), last)
-    theirs = ours.filter("NOT coalesce(page_id % 101 = 7, false)")
-    theirs = theirs.withColumn("html", F.when(F.col("page_id") % 97 == 5, broken).otherwise(F.col("html")))
-    return merkle.audit(merkle.leaves(ours), merkle.leaves(theirs))
+    """Records in which a damaged replica of all pages differs, laid out anew: cut in half where the id
+    mod 97 is 5, lost where it is 7 mod 101, with another beside it where it is 11 mod 103."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    half = F.concat(F.expr("substring(html, 1, cast(length(html) / 2 as int))"), F.lit("#"))
+    there = pages.filter("NOT coalesce(page_id % 101 = 7, false)")
+    there = there.withColumn("html", F.when(F.col("page_id") % 97 == 5, half).otherwise(F.col("html")))
+    more = pages.filter("page_id % 103 = 11").withColumn("url", F.concat("url", F.lit("?again")))
+    return merkle.audit(merkle.leaves(pages), merkle.leaves(there.unionByName(more)))
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,14 +136,29 @@ FROM sized d JOIN p{mixing.PASSES} s ON d.source IS NOT DISTINCT FROM s.source""
 ORACLE_SQL: dict[str, str] = {
     "op3_mix_sources": _mix_sql(),
     "op8_warc_audit": f"""
-WITH sized AS (SELECT coalesce(floor(page_id / {merkle.FILE_RECORDS}.0), -1)::BIGINT AS file, page_id, url, html,
-  strlen('WARC/1.0' || 'rn' || 'WARC-Type: resource' || 'rn' || 'WARC-Target-URI: ' || coalesce(url, '') || 'rn' || 'WARC-Record-ID: <urn:page:'
-    || coalesce(page_id::VARCHAR, '') || '>' || 'rn' || 'Content-Length: ' || strlen(coalesce(html, ''))::VARCHAR || 'rnrn'
-    || coalesce(html, '') || 'rnrn')::BIGINT AS length FROM pages),
-placed AS (SELECT *, coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id, url, html
-  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM sized)
-SELECT file, "offset", page_id, CASE WHEN page_id % 101 = 7 THEN 'missing' ELSE 'changed' END AS state
-FROM placed WHERE page_id % 97 = 5 OR page_id % 101 = 7""",
+WITH there AS (
+  SELECT page_id, url, CASE WHEN page_id % 97 = 5 THEN left(html, (length(html) // 2)::BIGINT) || '#' ELSE html END AS html
+  FROM pages WHERE NOT coalesce(page_id % 101 = 7, false)
+  UNION ALL SELECT page_id, url || '?again', html FROM pages WHERE page_id % 103 = 11),
+records AS (SELECT side, page_id,
+    replace('WARC/1.0@WARC-Type: resource@WARC-Target-URI: ', '@', chr(13) || chr(10)) || coalesce(url, '')
+    || replace('@WARC-Date: 2000-01-01T00:00:00Z@WARC-Record-ID: <urn:page:', '@', chr(13) || chr(10)) || coalesce(page_id::VARCHAR, '')
+    || replace('>@Content-Type: text/html@Content-Length: ', '@', chr(13) || chr(10)) || strlen(coalesce(html, ''))::VARCHAR
+    || replace('@@', '@', chr(13) || chr(10)) || coalesce(html, '') || replace('@@', '@', chr(13) || chr(10)) AS record
+  FROM (SELECT 0 AS side, page_id, url, html FROM pages UNION ALL SELECT 1, page_id, url, html FROM there)),
+hashed AS (SELECT side, page_id, sha256(record) AS digest, strlen(record)::BIGINT AS length FROM records),
+filed AS (SELECT *, coalesce(floor(page_id / {merkle.FILE_RECORDS}.0)::BIGINT,
+    -1 - ('0x' || substr(digest, 1, 8))::BIGINT % {merkle.ID_LESS_FILES}) AS file FROM hashed),
+placed AS (SELECT *, coalesce(sum(length) OVER (PARTITION BY side, file ORDER BY page_id NULLS FIRST, digest
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM filed),
+twins AS (SELECT *, row_number() OVER (PARTITION BY side, file, page_id, digest ORDER BY pos) AS k FROM placed),
+alone AS (SELECT * FROM twins t WHERE NOT EXISTS (SELECT 1 FROM twins u WHERE u.side <> t.side AND u.file = t.file
+    AND u.page_id IS NOT DISTINCT FROM t.page_id AND u.digest = t.digest AND u.k = t.k)),
+nth AS (SELECT side, file, page_id, pos, row_number() OVER (PARTITION BY side, file, page_id ORDER BY pos) AS k FROM alone)
+SELECT coalesce(o.file, r.file) AS file, coalesce(o.page_id, r.page_id) AS page_id,
+  CASE WHEN r.pos IS NULL THEN 'missing' WHEN o.pos IS NULL THEN 'extra' ELSE 'changed' END AS state, o.pos AS "offset", r.pos AS replica_offset
+FROM (SELECT * FROM nth WHERE side = 0) o FULL JOIN (SELECT * FROM nth WHERE side = 1) r
+  ON o.file = r.file AND o.page_id IS NOT DISTINCT FROM r.page_id AND o.k = r.k""",
     "op9_chat_format": r"""
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

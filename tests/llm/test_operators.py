@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -53,7 +54,7 @@ def test_empty_tables(spark):
     results = [
         bpe.encoded(d), mixing.plan(d), mixing.mixed(d), sketch.fingerprinted(d), simhash.grouped(d), simhash.deduplicated(d),
         quality.classified(d, labels), kneser.scored(d, kneser.fit(d)), ann.search(vectors, vectors), chat.digests(chat.segments(talk)),
-        chat.examples(chat.segments(talk)), chat.materialize(chat.segments(talk)), merkle.audit(merkle.leaves(merkle.archive(pages)), merkle.leaves(merkle.archive(pages))),
+        chat.examples(chat.segments(talk)), chat.materialize(chat.segments(talk)), merkle.audit(merkle.leaves(pages), merkle.leaves(pages)),
     ]
     assert [x.count() for x in results] == [0] * len(results)
 
@@ -517,16 +518,58 @@ def test_components_of_long_chains(spark):
 # 8
 
 
-def test_audit_finds_damage(spark):
-    pages = [(i, f"http://x/{i}", f"<p>{i}</p>" * (i % 30)) for i in range(1500)] + [(None, None, None), (7, "twice", "x"), (7, "twice", "x")]
-    ours = merkle.archive(spark.createDataFrame(pages, "page_id long, url string, html string"))
-    same = merkle.audit(merkle.leaves(ours), merkle.leaves(ours))
-    assert same.count() == 0
-    theirs = ours.filter("page_id IS NULL OR page_id <> 600").withColumn("html", F.when(F.col("page_id").isin(29, 1400), "gone").otherwise(F.col("html")))
-    got = {(r["page_id"], r["state"]) for r in merkle.audit(merkle.leaves(ours), merkle.leaves(theirs)).collect()}
-    assert got == {(29, "changed"), (1400, "changed"), (600, "missing")}
-    back = {(r["page_id"], r["state"]) for r in merkle.audit(merkle.leaves(theirs), merkle.leaves(ours)).collect()}
-    assert (600, "extra") in back
+PAGES = "page_id long, url string, html string, file string, offset int, length int, digest string, record string"
+
+
+def _pages(spark, rows):
+    """Pages with further columns whose names the operator uses inside."""
+    return spark.createDataFrame([(*r, "f", 1, 2, "d", "r") for r in rows], PAGES)
+
+
+@pytest.fixture(scope="module")
+def archived():
+    out = [(i, f"http://x/{i}", f"<p>{i}</p>" * (i % 30)) for i in range(1500)]
+    return out + [(None, None, None), (None, "a", "b"), (None, "a", "b"), (7, "twice", "x"), (7, "twice", "x"), (-3, "ä", "é🙂" * 40_000), (600, "same", "")]
+
+
+def _differences(spark, ours, theirs):
+    got = merkle.audit(merkle.leaves(_pages(spark, ours)), merkle.leaves(_pages(spark, theirs))).collect()
+    assert all((r["offset"] is None) == (r["state"] == "extra") and (r["replica_offset"] is None) == (r["state"] == "missing") for r in got)
+    return sorted((r["page_id"] is None, r["page_id"], r["state"]) for r in got)
+
+
+def test_audit_finds_damage(spark, archived):
+    assert _differences(spark, archived, archived[::-1]) == []
+    assert _differences(spark, archived, [x for x in archived if x[0] != 3]) == [(False, 3, "missing")]  # all behind it have moved
+    theirs = [x for x in archived if x[0] != 900 and x[1] != "same"]
+    theirs = [(i, u, {29: "gone", 1400: "longer " * 9000}.get(i, h)) for i, u, h in theirs] + [(5000, "new", "x"), (7, "twice", "x"), (1100, "beside", "y")]
+    theirs.remove((None, "a", "b"))
+    want = [(7, "extra"), (29, "changed"), (600, "missing"), (900, "missing"), (1100, "extra"), (1400, "changed"), (5000, "extra")]
+    assert _differences(spark, archived, theirs) == [(False, *w) for w in want] + [(True, None, "missing")]
+    back = {"extra": "missing", "missing": "extra", "changed": "changed"}
+    assert _differences(spark, theirs, archived) == [(False, i, back[s]) for i, s in want] + [(True, None, "extra")]
+    assert _differences(spark, archived[:2], []) == [(False, 0, "missing"), (False, 1, "missing")]
+
+
+def test_archives_are_read_as_laid_out(spark, archived, tmp_path):
+    pages = _pages(spark, archived)
+    folder = f"{tmp_path}/warc"
+    for _ in range(2):  # a repeated job leaves the same files
+        written = merkle.write_archive(pages, f"file://{folder}").collect()
+    assert sum(r["records"] for r in written) == len(archived)
+    key = lambda r: [str(x) for x in r]
+    want = sorted(map(tuple, merkle.leaves(pages).collect()), key=key)
+    assert sorted(map(tuple, merkle.read_archive(spark, f"file://{folder}").collect()), key=key) == want
+    flipped = next(r for r in want if r[3] == 1234)
+    with open(f"{folder}/{flipped[0]}.warc", "r+b") as f:
+        f.seek(flipped[1] + flipped[2] - 6)
+        f.write(b"!")
+    got = merkle.audit(merkle.leaves(pages), merkle.read_archive(spark, folder)).collect()
+    assert [(r["page_id"], r["state"], r["offset"]) for r in got] == [(1234, "changed", flipped[1])]
+    with open(f"{folder}/-9.warc", "wb") as f:
+        f.write(b"no record at all")
+    got = merkle.audit(merkle.leaves(pages), merkle.read_archive(spark, folder)).collect()
+    assert sorted((str(r["page_id"]), r["file"], r["state"]) for r in got) == [("1234", 2, "changed"), ("None", -9, "extra")]
 
 
 # 9
@@ -538,23 +581,34 @@ TALK = [
 ]
 
 
-def _talks():
+def _talks(talk):
     out = {}
-    for c, t, r, x in TALK:
+    for c, t, r, x in talk:
         out.setdefault(c, []).append((t is not None, t or 0, r or "", x or ""))
     return {c: sorted(v) for c, v in out.items()}
 
 
-def test_chat_reads_back(spark):
-    df = spark.createDataFrame([(*r, 1) for r in TALK], "conv_id long, turn long, role string, text string, segment int")
+LONG_TALK = [(8, i, "assistant" if i % 3 else "user", None if i % 7 == 0 else f"turn {i} <|im_end|>" * (i % 5)) for i in range(3000)]
+
+
+@pytest.mark.parametrize("limit", [1 << 25, 60, 0])
+def test_chat_reads_back(spark, monkeypatch, limit):
+    """From expanded texts, from the positional form, and from either by length."""
+    monkeypatch.setattr(chat, "EXPANDED", limit)
+    talk = TALK + LONG_TALK * (limit == 60)
+    df = spark.createDataFrame([(*r, 1, "x") for r in talk], "conv_id long, turn long, role string, text string, segment int, s string")
     got = {r["conv_id"]: r for r in chat.digests(chat.segments(df)).collect()}
-    assert set(got) == set(_talks())
-    for c, turns in _talks().items():
+    talks = _talks(talk)
+    assert set(got) == set(talks)
+    for c, turns in talks.items():
         all_ = "".join(f"{r}\n{x}\n" for _, _, r, x in turns)
         loss = "".join(x for _, _, r, x in turns if r == "assistant")
+        formatted = sum(len(chat.START + r.replace("%", "%25").replace("\n", "%0A") + "\n" + x + chat.END + "\n") for _, _, r, x in turns)
+        escaped = sum(len(re.findall(r"<\\*\|", s)) for _, _, r, x in turns for s in (r, x))
         r = got[c]
         assert (r["n_turns"], r["turns_sha256"]) == (len(turns), hashlib.sha256(all_.encode()).hexdigest())
         assert (r["loss_chars"], r["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+        assert r["formatted_chars"] == formatted + escaped
 
 
 def test_chat_examples(spark):
@@ -562,8 +616,15 @@ def test_chat_examples(spark):
     segs = chat.segments(df)
     full = sorted((str(r["conv_id"]), r["text"], r["loss_start"], r["loss_end"]) for r in chat.materialize(segs).collect())
     assert len(full) == sum(r == "assistant" for _, _, r, _ in TALK)
-    for c, x, a, b in full:
-        assert x[:a].endswith("assistant\n") and x[b:] == chat.END + "\n"
+    rendered = lambda r, x: chat.START + re.sub(r"<(\\*)\|", r"<\\\1|", r.replace("%", "%25").replace("\n", "%0A")) + "\n" + re.sub(r"<(\\*)\|", r"<\\\1|", x) + chat.END + "\n"
+    want = []
+    for c, turns in _talks(TALK).items():
+        for i, (_, _, r, x) in enumerate(turns):
+            if r == "assistant":
+                own = "".join(rendered(r, x) for _, _, r, x in turns[: i + 1])
+                end = len(own) - len(chat.END) - 1
+                want.append((str(c), own, end - len(rendered("", x)) + len(chat.START + chat.END) + 2, end))
+    assert full == sorted(want)
     by_block = sorted((str(r["conv_id"]), r["context_chars"], r["context_turns"], r["loss_start"], r["loss_end"]) for r in chat.examples(segs, block=2).collect())
     assert sorted((c, a, b) for c, _, a, b in full) == sorted((c, a, b) for c, _, _, a, b in by_block)
     assert all(a > n for _, n, _, a, _ in by_block)

@@ -1,15 +1,16 @@
 """Arrays in the shared folder: written whole by tasks, memory-mapped by workers.
 
 A path is a local one (plain or file:) that all machines share, or any URI that
-pyarrow's file systems open. From the latter a worker takes a private copy, which it
-unlinks as soon as it is mapped, so nothing is left behind.
+pyarrow's file systems open. The latter cannot be mapped: a worker holds copies of single
+arrays in memory, up to a budget, and writes none to its own disks.
 """
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import uuid
+from collections import OrderedDict
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -41,14 +42,32 @@ def save(path: str, array: np.ndarray) -> None:
 
 
 def load(path: str) -> np.ndarray:
+    """Memory-mapped where the path is a local one; else a copy in memory."""
     at = _local(path)
     if at is not None:
         return np.load(at, mmap_mode="r")
     from pyarrow import fs
 
     system, name = fs.FileSystem.from_uri(path)
-    with tempfile.NamedTemporaryFile(suffix=".npy") as copy, system.open_input_stream(name) as f:
-        while data := f.read(1 << 24):
-            copy.write(data)
-        copy.flush()
-        return np.load(copy.name, mmap_mode="r")
+    with system.open_input_stream(name) as f:
+        return np.load(io.BytesIO(f.read()))
+
+
+class Open:
+    """Arrays by path; those not used for longest are closed beyond a number of maps or a size of copies."""
+
+    def __init__(self, maps: int, copied: int):
+        self.maps, self.copied, self.held = maps, copied, OrderedDict()
+
+    def get(self, path: str) -> np.ndarray:
+        if path in self.held:
+            self.held.move_to_end(path)
+            return self.held[path]
+        array = load(path)
+        self.held[path] = array
+        while len(self.held) > 1 and (len(self.held) > self.maps or self._bytes() > self.copied):
+            self.held.popitem(last=False)
+        return array
+
+    def _bytes(self) -> int:
+        return sum(a.nbytes for a in self.held.values() if not isinstance(a, np.memmap))

@@ -1,7 +1,7 @@
 """Connected components over a table of links, by alternating large and small stars.
 
 Each round joins every node's links with the smallest neighbour and rewires them to
-it. Minimums are taken with map-side partial aggregation, and both joins are on the
+it, until a round changes nothing. Minimums are taken with map-side partial aggregation, and both joins are on the
 node, so a node with very many links is split by adaptive skew joins. Rounds are cut
 by checkpoints in the shared folder; no label or link reaches the driver.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import checkpointed
 
 
-def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """node, root (the smallest node reachable) for every node that has a link.
 
     links: a, b of one ordered type, not null; self-links and repeats do no harm.
@@ -22,7 +22,7 @@ def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
     e = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = checkpointed(e)
     last = None
-    for _ in range(max_rounds):
+    while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -34,7 +34,5 @@ def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
         if now == last:
             break
         last = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)

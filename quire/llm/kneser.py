@@ -23,7 +23,8 @@ of the tokens of these texts, which the disk limit does not hold.
 Defined cases. Null or empty text: the end alone. Null doc_id: as the empty text in the
 hold-out rule. No training documents: the model is uniform over the unknown word and
 every token's base is log10(0.1 / 0.1). Repeated rows count each. Other columns are
-ignored. Two words of one hash would be one word: 2^-64 for each pair of words.
+ignored. Counts have 64 bits. A vocabulary has less than 2^32 words, as a bigram's key has
+32 bits for each; more raise an error. Two words of one hash would be one word: 2^-64 for each pair of words.
 """
 
 from __future__ import annotations
@@ -38,11 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays
-from .common import as_bytes, crc_mod, fresh_path, mix64
+from .common import ENTRY_BYTES, MEMO_BYTES, as_bytes, crc_mod, fresh_path, mix64
 
 FOLDS = 10
 SHARD_TOKENS, ID_BLOCK, BATCH_TOKENS = 2_000_000, 1 << 18, 1_000_000
 WORDS_KEPT, FLUSH_WORDS = 400_000, 400_000
+SHARD_DOCUMENTS, MAX_BITS = 4000, 20  # of a vocabulary shard; shards are 2 ** MAX_BITS at most, a row each on the driver
+MAPS, COPIED_BYTES = 256, 128 << 20  # arrays that a worker holds open; bytes of those that it cannot map
 _END = b"\n"  # no word holds white space
 
 
@@ -63,11 +66,20 @@ def _unpack(b: bytes) -> np.ndarray:
 
 
 def _pack_counts(a: np.ndarray) -> bytes:
-    return np.ascontiguousarray(a.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()
+    """Counts as byte planes, 4 or 8 of them as the largest needs; their number comes first."""
+    width = 4 if not len(a) or int(a.max()) < 1 << 32 else 8
+    planes = a.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + np.ascontiguousarray(planes).tobytes()
 
 
 def _unpack_counts(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+    planes = np.frombuffer(b, np.uint8, offset=1).reshape(b[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{b[0]}").ravel()
+
+
+def _small(a: np.ndarray) -> np.ndarray:
+    """In 32 bits where all values fit."""
+    return a.astype(np.uint32) if not a.size or int(a.max()) < 1 << 32 else a.astype(np.int64)
 
 
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -90,15 +102,15 @@ class Counts:
         self.documents = 0
         self.shards = 0
         self.bos_shard = self.tokens // SHARD_TOKENS + 1
+        if self.unknown >= 1 << 32:
+            raise OverflowError("a bigram's key has 32 bits for each word")
 
     def __reduce__(self):
-        return _opened, (self.path, self.bits, tuple(np.diff(self.offset).tolist()), tuple(np.diff(self.before).tolist()))
+        return _opened, (self.path, self.bits, np.diff(self.offset).tobytes(), np.diff(self.before).tobytes())
 
     def array(self, name: str) -> np.ndarray:
-        kept = self.__dict__.setdefault("_arrays", {})
-        if name not in kept:
-            kept[name] = arrays.load(f"{self.path}/{name}.npy")
-        return kept[name]
+        kept = self.__dict__.setdefault("_arrays", arrays.Open(MAPS, COPIED_BYTES))
+        return kept.get(f"{self.path}/{name}.npy")
 
     def ids(self, words) -> np.ndarray:
         """Ids of words; the unknown id for those that training has not."""
@@ -119,12 +131,14 @@ class Counts:
 
     def sequence(self, words: list[bytes]) -> np.ndarray:
         known = self.__dict__.setdefault("_known", {})
-        if len(known) > WORDS_KEPT:
+        if len(known) > WORDS_KEPT or self.__dict__.get("_known_bytes", 0) > MEMO_BYTES:
             known.clear()
+            self._known_bytes = 0
         short = {w for w in words if w not in known}
         if short:
             short = list(short)
             known.update(zip(short, self.ids(short).tolist()))
+            self._known_bytes = self.__dict__.get("_known_bytes", 0) + sum(map(len, short)) + len(short) * (ENTRY_BYTES + 65)
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def of_ids(self, name: str, ids: np.ndarray) -> np.ndarray:
@@ -156,8 +170,8 @@ class Counts:
 
 
 @lru_cache(maxsize=1)
-def _opened(path: str, bits: int, lengths: tuple, tokens: tuple) -> Counts:
-    return Counts(path, bits, list(lengths), list(tokens))
+def _opened(path: str, bits: int, lengths: bytes, tokens: bytes) -> Counts:
+    return Counts(path, bits, *(np.frombuffer(x, np.int64).tolist() for x in (lengths, tokens)))
 
 
 def _batches(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
@@ -203,7 +217,7 @@ def _vocabulary(train: DataFrame, path: str, bits: int) -> Counts:
         s = key[0].as_py()
         h, n = _merged([_unpack(x) for x in t["k"].to_pylist()], [_unpack_counts(x) for x in t["n"].to_pylist()])
         arrays.save(f"{path}/vocabulary-{s}.npy", h)
-        arrays.save(f"{path}/counts-{s}.npy", n.astype(np.uint32) if n.max() < 1 << 32 else n)
+        arrays.save(f"{path}/counts-{s}.npy", _small(n))
         arrays.save(f"{path}/running-{s}.npy", np.cumsum(n))
         return pa.table({"shard": pa.array([s], pa.int32()), "size": [len(h)], "tokens": [int(n.sum())]})
 
@@ -272,14 +286,14 @@ def _bigrams(train: DataFrame, c: Counts) -> dict:
         if kind == 0:  # counts of counts: a row per shard
             x = np.array([_unpack_counts(v).astype(np.int64) for v in t["a"].to_pylist()])
             return pa.table({"kind": pa.array([0], pa.int32()), "n": [x[:, :5].sum(0).tolist()]})
-        out = np.zeros((4 if kind == 1 else 1, block), np.uint32)
+        out = np.zeros((4 if kind == 1 else 1, block), np.int64)
         for run, *values in zip(*(t[c].to_pylist() for c in "kabcd")):
             at = (_unpack(run) - np.uint64(b * block)).astype(np.int64)
             for i in range(len(out)):
-                out[i, at] += _unpack_counts(values[i])
-        arrays.save(f"{path}/{'context' if kind == 1 else 'word'}-{b}.npy", out)
+                out[i, at] += _unpack_counts(values[i]).astype(np.int64)
+        arrays.save(f"{path}/{'context' if kind == 1 else 'word'}-{b}.npy", _small(out))
         x = out[0]
-        return pa.table({"kind": pa.array([kind], pa.int32()), "n": [[*((x == i).sum() for i in (1, 2, 3, 4)), int(x.sum(dtype=np.int64))]]})
+        return pa.table({"kind": pa.array([kind], pa.int32()), "n": [[*((x == i).sum() for i in (1, 2, 3, 4)), int(x.sum())]]})
 
     runs = train.select("text").mapInArrow(count, "shard int, k binary, n binary")
     form = "kind int, block int, k binary, a binary, b binary, c binary, d binary"
@@ -391,7 +405,7 @@ def fit(documents: DataFrame, folds: int = FOLDS) -> Model:
     """Counts the documents that are not held out and writes the model to the shared folder."""
     train = documents.filter(crc_mod(F.col("doc_id"), folds) != 0)
     n = train.count()
-    bits = min(12, max(4, int(np.ceil(np.log2(max(n, 1) / 4000 + 1)))))
+    bits = min(MAX_BITS, max(4, int(np.ceil(np.log2(max(n, 1) / SHARD_DOCUMENTS + 1)))))
     path = fresh_path(documents.sparkSession, "kneser")
     counts = _vocabulary(train, path, bits)
     return Model(counts, _bigrams(train, counts) if counts.size else {})

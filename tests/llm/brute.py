@@ -163,3 +163,14 @@ def kneser(train, texts):
         s = [start, *[w.decode() for w in words(t.lower() if t else t)], end]
         out.append(sum(np.log10(p(v, w)) for v, w in zip(s, s[1:])))
     return out
+
+
+def base_scores(train, texts):
+    """n_known and the add-0.1 unigram score of each text."""
+    from collections import Counter
+
+    seq = lambda t: [*((t or "").encode().lower().split()), b"\n"]
+    c = Counter(w for t in train for w in seq(t))
+    n, v = sum(c.values()), len(c)
+    for t in texts:
+        yield sum(c[w] > 0 for w in seq(t)), sum(np.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in seq(t))

@@ -645,10 +645,37 @@ def test_language_model_equals_plain_form(spark, rows, monkeypatch):
         pairs = sorted((str(r["doc_id"]), r["n_tokens"], round(r["score"], 6)) for r in got)
         assert pairs == sorted((str(i), len(brute.words(t)) + 1, round(w, 6)) for (i, t, _), w in zip(rows, want))
         assert {r["train_tokens"] for r in got} == {sum(len(brute.words(t)) + 1 for t in train)}
+        base = [(str(i), n, round(b, 6)) for (i, _, _), (n, b) in zip(rows, brute.base_scores(train, [t for _, t, _ in rows]))]
+        assert sorted((str(r["doc_id"]), r["n_known"], round(r["base_score"], 6)) for r in got) == sorted(base)
     held = [r for r in got if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_language_model_without_training(spark):
+    rows = [(i, t, "s") for i, t in zip([i for i in range(200) if brute.crc_mod(i, 10) == 0], ["a b", None, "", "c " * 500])]
+    got = kneser.scored(documents(spark, rows), kneser.fit(documents(spark, rows))).collect()
+    assert len(got) == 4
+    for r in got:
+        assert (r["held_out"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) == (True, 0, 0, 0, 0)
+
+
+def test_counts_beyond_32_bits():
+    for a in ([1, 2, 3], [1 << 32, 5, (1 << 40) + 7], []):
+        assert kneser._unpack_counts(kneser._pack_counts(np.array(a, np.int64))).tolist() == a
+    assert kneser._small(np.array([[1 << 33]])).tolist() == [[1 << 33]] and kneser._small(np.array([7])).dtype == np.uint32
+    key, n = kneser._merged([np.array([5], np.uint64)] * 2, [np.array([(1 << 32) - 1], np.uint32)] * 2)
+    assert (key.tolist(), n.tolist()) == ([5], [2 * ((1 << 32) - 1)])
+    with pytest.raises(OverflowError):
+        kneser.Counts("nowhere", 1, [1 << 31, 1 << 31], [1 << 31, 1 << 31])
+
+
+def test_arrays_are_closed(tmp_path):
+    held = kneser.arrays.Open(3, 1 << 20)
+    for i in range(10):
+        kneser.arrays.save(f"{tmp_path}/{i}.npy", np.arange(i + 1))
+        assert held.get(f"{tmp_path}/{i}.npy").tolist() == list(range(i + 1)) and len(held.held) <= 3
+
+
 def test_language_model_sums_to_one(spark):
     d = documents(spark, [(i, "a b c a b d", "s") for i in range(1, 5)] + [(8, "b b", "s")])
     m = kneser.fit(d)

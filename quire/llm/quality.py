@@ -24,38 +24,36 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from operator import and_, eq
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh32_intdigest as _digest
 
-from .common import Memo, as_bytes, crc_mod
+from .common import ENTRY_BYTES, MEMO_BYTES, as_bytes, crc_mod
 
 FOLDS, THRESHOLD = 5, 0.3
 BUCKETS, DIM, MIN_N, MAX_N = 1 << 17, 8, 3, 4
 MAX_TRAIN, EPOCHS, RATE = 2500, 6, 2.0
-KEPT_BYTES = 48
+KEPT_BYTES, SLICE = 48, 512
 PATTERNS = ("aa", "ab", "aaa", "aab", "aba", "abb", "abc")
 
 
 def word_features(word: bytes) -> list[int]:
     """Buckets of a word and of its character n-grams."""
-    from xxhash import xxh32_intdigest as digest
-
-    out = [digest(word, 1) % BUCKETS]
     marked = b"<" + word + b">"
+    out = [_digest(word, 1) % BUCKETS]
     for n in range(MIN_N, MAX_N + 1):
-        out += [digest(marked[i : i + n], 2) % BUCKETS for i in range(len(marked) - n + 1)]
+        out += [_digest(marked[i : i + n], 2) % BUCKETS for i in range(len(marked) - n + 1)]
     return out
 
 
 def pattern_features() -> list[int]:
     """The bucket of each pattern."""
-    from xxhash import xxh32_intdigest as digest
-
-    return [digest(p, 3) % BUCKETS for p in PATTERNS]
+    return [_digest(p, 3) % BUCKETS for p in PATTERNS]
 
 
 def pattern_counts(words: list[bytes]) -> list[int]:
@@ -148,23 +146,48 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> tupl
     return train(rows)
 
 
-def _scorer(weights: np.ndarray, bias: float):
-    def weigh(word: bytes) -> complex:
-        f = word_features(word)
-        return complex(float(weights[f].sum(dtype=np.float64)), len(f))
-
-    known, patterns = Memo(weigh), weights[pattern_features()].astype(float).tolist()
-
-    def score(text: bytes) -> float:
-        # the real part sums weights, the imaginary part counts features
-        words = text.split()
-        total = sum([known[w] if len(w) <= KEPT_BYTES else weigh(w) for w in words])
-        if words:
-            total += sum(complex(n * w, n) for n, w in zip(pattern_counts(words), patterns))
-        z = bias + (total.real / total.imag if total else 0.0)
-        return float(1 / (1 + np.exp(-z)))
-
-    return score
+class _Scorer:
+    """Scores of texts. Sums per word are kept in two tables of bounded bytes: a full one gives way
+    to an empty one and serves it until that is full too, so frequent words stay."""
+
+    def __init__(self, weights: np.ndarray, bias: float):
+        self.weights, self.bias = weights.astype(np.float64), bias
+        self.patterns = self.weights[pattern_features()].tolist()
+        self.known: dict[bytes, complex] = {}
+        self.older: dict[bytes, complex] = {}
+        self.used = 0
+
+    def _new(self, words: list[bytes]) -> list[complex]:
+        """Of words: the sum of their features' weights as the real part, the number of features as the imaginary one."""
+        if not words:
+            return []
+        found = [word_features(w) for w in words]
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        sums = np.add.reduceat(self.weights[np.fromiter(chain.from_iterable(found), np.int64, int(n.sum()))], np.cumsum(n) - n)
+        return (sums + 1j * n).tolist()
+
+    def all(self, texts: list[bytes]) -> np.ndarray:
+        words = [t.split() for t in texts]
+        if self.used > MEMO_BYTES // 2:
+            self.older, self.known, self.used = self.known, {}, 0
+        known, older = self.known, self.older
+        lack = set().union(*words).difference(known)
+        found = {w: older[w] for w in lack if w in older}
+        new = list(lack.difference(found))
+        found.update(zip(new, self._new(new)))
+        known.update(found)
+        z = np.full(len(texts), self.bias)
+        for i, w in enumerate(words):
+            if w:
+                total = sum(map(known.__getitem__, w))
+                total += sum([complex(n * x, n) for n, x in zip(pattern_counts(w), self.patterns)])
+                z[i] += total.real / total.imag
+        for w in found:
+            if len(w) > KEPT_BYTES:
+                del known[w]
+            else:
+                self.used += len(w) + 65 + ENTRY_BYTES
+        return 1 / (1 + np.exp(-z))
 
 
 def scored(documents: DataFrame, model: tuple[np.ndarray, float], keep: bool = False) -> DataFrame:
@@ -174,9 +197,10 @@ def scored(documents: DataFrame, model: tuple[np.ndarray, float], keep: bool = F
     sent = spark.sparkContext.broadcast(model)  # BUCKETS floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = _scorer(*sent.value)
+        score = _Scorer(*sent.value)
         for b in batches:
-            s = np.array([score(t) for t in as_bytes(b.column(b.schema.get_field_index("text")))], np.float64)
+            texts = b.column(b.schema.get_field_index("text"))
+            s = np.concatenate([np.empty(0)] + [score.all(as_bytes(texts.slice(i, SLICE))) for i in range(0, len(texts), SLICE)])
             if keep:
                 yield b.filter(pa.array(s >= THRESHOLD))
             else:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import strip
 
-AMOUNT = "decimal(38,6)"
+AMOUNT, NUMBER = "decimal(38,6)", "decimal(28,6)"
 # Number words, and stems of scales.
 UNITS = {
     "ноль": 0, "один": 1, "одна": 1, "одно": 1, "два": 2, "две": 2, "три": 3, "четыре": 4, "пять": 5,
@@ -22,15 +22,27 @@ SCALES = {"тысяч": 1_000, "миллион": 1_000_000, "миллиард":
 
 
 def to_number(c: Column) -> Column:
-    """A printed number as a decimal, null if it is none. Of both separators the last one is
-    the decimal one; several of one kind part thousands; a single one is decimal."""
-    s = F.lower(strip(F.replace(c.cast("string"), F.lit("\u00a0"), F.lit(" "))))
+    """A printed number as a decimal, null if it is none or has over 32 digits before the point. Of both
+    separators the last one is the decimal one; several of one kind part thousands; a single one is decimal.
+
+    Plain digits with one separator take one match; only other forms are cleaned. An operator that needs the
+    number more than once makes a column of it first (``with_numbers``)."""
+    c = c.cast("string")
+    plain = F.regexp_like(c, F.lit(r"\A-?\d+(?:[.,]\d+)?%?\z"))
+    s = F.lower(strip(F.replace(c, F.lit("\u00a0"), F.lit(" "))))
     s = F.replace(F.regexp_replace(s, r"руб\.?|коп\.?|byn|%", ""), F.lit(" "), F.lit(""))
     # several of one kind and none of the other: all part thousands; else the last one is decimal
     thousands = F.regexp_like(s, F.lit(r"\A[^.]*,[^.]*,[^.]*\z|\A[^,]*\.[^,]*\.[^,]*\z"))
     last = F.replace(F.regexp_replace(s, r"[.,](?=.*[.,])", ""), F.lit(","), F.lit("."))
     clean = F.when(thousands, F.regexp_replace(s, "[.,]", "")).otherwise(last)
-    return F.when(F.regexp_like(s, F.lit(r"\A-?[\d.,]*\d[\d.,]*\z")), clean.try_cast(AMOUNT))
+    general = F.when(F.regexp_like(s, F.lit(r"\A-?[\d.,]*\d[\d.,]*\z")), clean.try_cast(AMOUNT))
+    return F.when(plain, F.translate(c, ",%", ".").try_cast(AMOUNT)).otherwise(general)
+
+
+def with_numbers(df: DataFrame, names: list[str], prefix: str = "_n_") -> DataFrame:
+    """``df`` with the printed numbers of columns as decimals in columns of their own, null beyond 22 digits
+    before the point. Each is parsed once: readers refer to the column."""
+    return df.withColumns({prefix + n: to_number(F.col(n)).try_cast(NUMBER) for n in names})
 
 
 def words_to_amount(c: Column) -> Column:

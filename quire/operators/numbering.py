@@ -23,17 +23,6 @@ def style_chain(styles: DataFrame) -> DataFrame:
     return out.drop("at")
 
 
-def style_chain_sql(view: str) -> str:
-    """The same by recursion, which ends where the chains do."""
-    return f"""
-    WITH RECURSIVE chain(style_id, at, num_id, ilvl, hop) AS (
-      SELECT style_id, based_on, num_id, ilvl, 1 FROM {view}
-      UNION ALL
-      SELECT c.style_id, s.based_on, coalesce(c.num_id, s.num_id), coalesce(c.ilvl, s.ilvl), c.hop + 1
-      FROM chain c JOIN {view} s ON c.at = s.style_id WHERE c.hop < {MAX_HOPS})
-    SELECT style_id, max_by(num_id, hop) AS num_id, max_by(ilvl, hop) AS ilvl FROM chain GROUP BY style_id"""
-
-
 def levels(base: DataFrame, overrides: DataFrame) -> DataFrame:
     """num_id, ilvl and level fields: a number's levels, its own where it overrides. base: num_id, ilvl, fields; overrides alike."""
     fields = [c for c in base.columns if c not in ("num_id", "ilvl")]

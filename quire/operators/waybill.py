@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from ..functions.numbers import to_number, words_to_amount
+from ..functions.numbers import NUMBER, with_numbers, words_to_amount
 from ..functions.text import null_text
 
 # Tolerances of the checks.
@@ -31,9 +31,7 @@ WAYBILL = (
 )
 
 
-def _num(c: Column) -> Column:
-    # 18 digits, so that products keep their fraction
-    return to_number(c).cast("decimal(18,6)")
+OPERANDS = ["quantity", "price", "cost", "vat_rate", "vat", "cost_with_vat"]
 
 
 def _dec(x: str) -> Column:
@@ -41,43 +39,51 @@ def _dec(x: str) -> Column:
 
 
 def _issue(code: str, wrong: Column, level: str = "error") -> Column:
-    return F.when(F.coalesce(wrong, F.lit(False)), F.struct(F.lit(code).alias("code"), F.lit(level).alias("level")))
-
-
-def item_issues() -> Column:
-    """array<struct<code, level>> of an item row; a check with an unread operand is skipped."""
-    q, p, c = _num(F.col("quantity")), _num(F.col("price")), _num(F.col("cost"))
-    rate, vat, total = _num(F.col("vat_rate")), _num(F.col("vat")), _num(F.col("cost_with_vat"))
-    return F.array_compact(
-        F.array(
-            _issue("row_cost", F.abs(q * p - c) > _dec(KOPECK) + F.abs(q) * _dec(PER_UNIT)),
-            _issue("row_vat", F.abs(c * rate / 100 - vat) > _dec(VAT_SLACK)),
-            _issue("row_total", F.abs(c + F.coalesce(vat, _dec("0")) - total) > _dec(KOPECK)),
-        )
-    )
+    return F.when(wrong, F.struct(F.lit(code).alias("code"), F.lit(level).alias("level")))
+
+
+def wrong_rows() -> dict[str, Column]:
+    """Whether an item row fails each check, of columns made by ``with_numbers``; a check with an operand
+    that is unread, or whose product passes 38 digits, is skipped."""
+    q, p, c, rate, vat, total = (F.col(f"_n_{k}") for k in OPERANDS)
+    off = lambda a, b: F.abs(F.try_subtract(a, b))
+    found = {
+        "row_cost": off(F.try_multiply(q, p), c) > F.try_add(_dec(KOPECK), F.try_multiply(F.abs(q), _dec(PER_UNIT))),
+        "row_vat": off(F.try_multiply(F.try_multiply(c, rate), _dec("0.01")), vat) > _dec(VAT_SLACK),
+        "row_total": off(F.try_add(c, F.coalesce(vat, _dec("0"))), total) > _dec(KOPECK),
+    }
+    return {k: F.coalesce(v, F.lit(False)) for k, v in found.items()}
 
 
 def check_items(items: DataFrame) -> DataFrame:
     """doc, row, code, level: arithmetic that does not hold within a row."""
-    return items.select("doc", "row", F.inline(item_issues()))
+    parsed = with_numbers(items.select("doc", "row", *OPERANDS), OPERANDS)
+    found = F.array_compact(F.array(*[_issue(k, v) for k, v in wrong_rows().items()]))
+    return parsed.filter(_any(wrong_rows())).select("doc", "row", F.inline(found))
+
+
+def _any(wrong: dict[str, Column]) -> Column:
+    a, *rest = wrong.values()
+    for b in rest:
+        a = a | b
+    return a
 
 
 def check_totals(items: DataFrame, totals: DataFrame) -> DataFrame:
     """doc, code, level, stated, summed: printed totals that differ from the sums of rows, or from their words.
 
     items and totals have doc and the fields of TOTALS; totals may have ``*_words``."""
-    sums = items.groupBy("doc").agg(*[F.sum(to_number(F.col(k)).cast("decimal(28,6)")).alias(f"sum_{k}") for k in TOTALS])
-    both = totals.join(sums, "doc", "left")
+    parsed = with_numbers(items.select("doc", *TOTALS), list(TOTALS))
+    sums = parsed.groupBy("doc").agg(*[F.try_sum(f"_n_{k}").try_cast(NUMBER).alias(f"_sum_{k}") for k in TOTALS])
+    both = with_numbers(totals, list(TOTALS)).join(sums, "doc", "left")
+    spelled = [k for k in ("cost_with_vat", "vat") if f"{k}_words" in totals.columns]
+    both = both.withColumns({f"_said_{k}": words_to_amount(F.col(f"{k}_words")).try_cast(NUMBER) for k in spelled})
+    pairs = [(f"total_{k}", F.col(f"_n_{k}"), F.col(f"_sum_{k}"), slack) for k, slack in TOTALS.items()]
+    pairs += [(f"words_{k}", F.col(f"_n_{k}"), F.col(f"_said_{k}"), KOPECK) for k in spelled]
     found = []
-    for k, slack in TOTALS.items():
-        stated, summed = to_number(F.col(k)).cast("decimal(28,6)"), F.col(f"sum_{k}").cast("decimal(28,6)")
-        row = F.struct(F.lit(f"total_{k}").alias("code"), stated.alias("stated"), summed.alias("summed"))
-        found.append(F.when(F.coalesce(F.abs(stated - summed) > _dec(slack), F.lit(False)), row))
-    for k in ("cost_with_vat", "vat"):
-        if f"{k}_words" in totals.columns:
-            stated, said = to_number(F.col(k)).cast("decimal(28,6)"), words_to_amount(F.col(f"{k}_words")).cast("decimal(28,6)")
-            row = F.struct(F.lit(f"words_{k}").alias("code"), stated.alias("stated"), said.alias("summed"))
-            found.append(F.when(F.coalesce(F.abs(said - stated) > _dec(KOPECK), F.lit(False)), row))
+    for code, stated, other, slack in pairs:
+        row = F.struct(F.lit(code).alias("code"), stated.alias("stated"), other.alias("summed"))
+        found.append(F.when(F.abs(F.try_subtract(stated, other)) > _dec(slack), row))
     rows = both.select("doc", F.inline(F.array_compact(F.array(*found))))
     return rows.select("doc", "code", F.lit("error").alias("level"), "stated", "summed")
 
@@ -204,11 +210,12 @@ def accept_repairs(items: DataFrame, candidates: DataFrame) -> DataFrame:
     """items (doc, row, fields), each row that fails a check replaced by its first candidate (doc, row, round,
     fields) that passes all and does not change quantity, price and cost together."""
     fields = [c for c in items.columns if c not in ("doc", "row")]
-    good = candidates.filter(F.size(item_issues()) == 0)
-    old = items.filter(F.size(item_issues()) > 0).select("doc", "row", *[F.col(c).alias(f"_{c}") for c in ("quantity", "price", "cost")])
-    good = good.join(old, ["doc", "row"])
-    changed = [~_num(F.col(c)).eqNullSafe(_num(F.col(f"_{c}"))) for c in ("quantity", "price", "cost")]
-    good = good.filter(~(changed[0] & changed[1] & changed[2]))
+    fails = _any(wrong_rows())
+    keys = ["quantity", "price", "cost"]
+    old = with_numbers(items, OPERANDS).filter(fails).select("doc", "row", *[F.col(f"_n_{c}").alias(f"_{c}") for c in keys])
+    good = with_numbers(candidates, OPERANDS).filter(~fails).join(old, ["doc", "row"])
+    same = [F.col(f"_n_{c}").eqNullSafe(F.col(f"_{c}")) for c in keys]
+    good = good.filter(same[0] | same[1] | same[2])
     best = good.groupBy("doc", "row").agg(F.min_by(F.struct(*fields), "round").alias("_new"))
     out = items.join(best, ["doc", "row"], "left")
     pick = [F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c) for c in fields]

@@ -12,7 +12,7 @@ from ..functions import numbers as N
 from ..functions import text as T
 from ..operators import answers, layout, markdown, numbering, tables, waybill
 from ..sources import files
-from .inputs import ALL_LINES, BOXES, CENTS, ITEMS, LINES, PAGES, derived, duck, money, table
+from .inputs import BOXES, CENTS, ITEMS, LINES, LINES_DUCK, PAGES, derived, duck, money, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -216,8 +216,8 @@ def q12_adjacent_dedup(spark, sf):
     return waybill.without_adjacent_repeats(rows).select("file", "page", "row", "n", "name")
 
 
-_PARTIAL = """SELECT conv_id AS doc, turn AS page, role, CASE WHEN length(text) % 3 = 0 THEN NULL ELSE substring(text, 1, 12) END AS a,
-  CASE WHEN role = 'user' THEN NULL ELSE substring(text, 2, 9) END AS b FROM {conversations}"""
+_PARTIAL = """SELECT conv_id AS doc, turn AS page, role, CASE WHEN length(text) % 3 = 0 THEN NULL ELSE text END AS a,
+  CASE WHEN role = 'user' THEN NULL ELSE text END AS b FROM {conversations}"""
 
 
 @query(f"SELECT doc, min_by(a, (page, role)) FILTER (a IS NOT NULL) AS a, min_by(b, (page, role)) FILTER (b IS NOT NULL) AS b FROM ({_PARTIAL}) GROUP BY doc")
@@ -225,14 +225,6 @@ def q13_header_first_nonnull(spark, sf):
     return waybill.first_read(derived(spark, sf, _PARTIAL), ["doc"], ["page", "role"], ["a", "b"])
 
 
-_PARTIAL_WHOLE = _PARTIAL.replace("substring(text, 1, 12)", "text").replace("substring(text, 2, 9)", "text")
-
-
-@query(f"SELECT doc, min_by(a, (page, role)) FILTER (a IS NOT NULL) AS a, min_by(b, (page, role)) FILTER (b IS NOT NULL) AS b FROM ({_PARTIAL_WHOLE}) GROUP BY doc")
-def q13b_header_first_nonnull_whole(spark, sf):
-    return waybill.first_read(derived(spark, sf, _PARTIAL_WHOLE), ["doc"], ["page", "role"], ["a", "b"])
-
-
 @query(
     f"SELECT doc, max_by(off, n) FILTER (off IS NOT NULL) AS off, max_by(rate, n) FILTER (rate IS NOT NULL) AS rate FROM (SELECT doc, n, nullif(off, 0) AS off, nullif(rate, 0) AS rate FROM ({CENTS})) GROUP BY doc"
 )
@@ -347,7 +339,7 @@ _FITS = f"length(text) <= 100 AND text <> '' AND NOT regexp_matches(text, '[\\t\
     "WITH RECURSIVE x AS (SELECT *, "
     + _FITS
     + """ AS fits, regexp_full_match(regexp_replace(text, '[^\\p{L}]', '', 'g'), '\\p{Lu}*') AS caps, nullif(regexp_extract(text, '^(\\d+(?:\\.\\d+)*)\\.?\\s+\\S', 1), '') AS num FROM ("""
-    + LINES
+    + LINES_DUCK
     + """)),
   y AS (SELECT *, CASE WHEN fits AND in_list AND caps THEN 1 WHEN fits AND NOT in_list AND (bold OR (num IS NOT NULL AND caps)) THEN coalesce(len(string_split(num, '.')), 1) END AS sure FROM x),
   walk AS (SELECT doc, -1::BIGINT AS pos, []::VARCHAR[] AS known, NULL::BIGINT AS level FROM (SELECT DISTINCT doc FROM y)
@@ -359,12 +351,6 @@ def q21_heading_level(spark, sf):
     return markdown.headings(derived(spark, sf, LINES), ["doc"]).filter("level IS NOT NULL").select("doc", "pos", F.col("level").cast("long").alias("level"))
 
 
-@query()
-def q21b_heading_level_whole(spark, sf):
-    """Headings among all lines of whole texts; tests hold it to a plain loop."""
-    return markdown.headings(derived(spark, sf, ALL_LINES), ["doc"]).filter("level IS NOT NULL").select("doc", "pos", F.col("level").cast("long").alias("level"))
-
-
 @query(
     """SELECT page_id, array_to_string(list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(html, '(?i)\\s*data-bbox="[^"]*"', '', 'g'),
   '(?i)</(?:p|div|li|tr|h[1-6]|table)>|<br\\s*/?>', chr(10), 'g'), '<[^>]+>', '', 'g'), chr(10)), lambda x: trim(regexp_replace(x, '[\\s\\x{00A0}]+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text FROM pages"""
@@ -617,11 +603,11 @@ def q39c_tile_merge(spark, sf):
 # documents
 
 _BLOCKS = """SELECT conv_id AS doc, turn AS pos, CASE WHEN turn % 3 = 1 THEN 'picture' ELSE 'block' END AS kind, CASE WHEN turn % 3 = 1 THEN '' WHEN conv_id % 4 = 0 AND turn % 3 = 0 THEN concat('Таблица ', turn + 1)
-  WHEN conv_id % 4 = 1 AND turn % 3 = 2 THEN concat('Рис. ', turn, ' – x') WHEN conv_id % 4 = 2 AND turn % 3 = 2 THEN concat('Рисунок ', turn) ELSE concat('plain ', substring(role, 1, 4)) END AS md FROM {conversations}"""
+  WHEN conv_id % 4 = 1 AND turn % 3 = 2 THEN concat('Рис. ', turn, ' – x') WHEN conv_id % 4 = 2 AND turn % 3 = 2 THEN concat('Рисунок ', turn) ELSE concat('plain ', text) END AS md FROM {conversations}"""
 
 
 @query(
-    f"""SELECT doc, pos, CASE WHEN p1 LIKE 'Таблица%' THEN p1 WHEN n1 LIKE 'Рис. %' THEN n1 WHEN n1 LIKE 'Рисунок%' THEN CASE WHEN n2 <> '' AND n2 NOT LIKE 'Рис%' AND n2 NOT LIKE 'Табл%' THEN n1 || ' – ' || n2 ELSE n1 END
+    f"""SELECT doc, pos, CASE WHEN p1 LIKE 'Таблица%' THEN p1 WHEN n1 LIKE 'Рис. %' THEN n1 WHEN n1 LIKE 'Рисунок%' THEN CASE WHEN n2 <> '' AND length(n2) <= 200 AND n2 NOT LIKE 'Рис%' AND n2 NOT LIKE 'Табл%' THEN n1 || ' – ' || n2 ELSE n1 END
     WHEN p1 LIKE 'Рис%' THEN p1 ELSE 'image' END AS alt FROM (SELECT *, coalesce(lag(md) OVER w, '') AS p1, coalesce(lead(md) OVER w, '') AS n1, coalesce(lead(CASE WHEN kind = 'block' THEN md ELSE '' END, 2) OVER w, '') AS n2
     FROM ({_BLOCKS}) WINDOW w AS (PARTITION BY doc ORDER BY pos)) WHERE kind = 'picture'"""
 )
@@ -629,25 +615,13 @@ def q40_captions_neighbours(spark, sf):
     return markdown.picture_captions(derived(spark, sf, _BLOCKS), ["doc"])
 
 
-_BLOCKS_WHOLE = _BLOCKS.replace("substring(role, 1, 4)", "text")
-
-
-@query(
-    f"""SELECT doc, pos, CASE WHEN p1 LIKE 'Таблица%' THEN p1 WHEN n1 LIKE 'Рис. %' THEN n1 WHEN n1 LIKE 'Рисунок%' THEN CASE WHEN n2 <> '' AND length(n2) <= 200 AND n2 NOT LIKE 'Рис%' AND n2 NOT LIKE 'Табл%' THEN n1 || ' – ' || n2 ELSE n1 END
-    WHEN p1 LIKE 'Рис%' THEN p1 ELSE 'image' END AS alt FROM (SELECT *, coalesce(lag(md) OVER w, '') AS p1, coalesce(lead(md) OVER w, '') AS n1, coalesce(lead(CASE WHEN kind = 'block' THEN md ELSE '' END, 2) OVER w, '') AS n2
-    FROM ({_BLOCKS_WHOLE}) WINDOW w AS (PARTITION BY doc ORDER BY pos)) WHERE kind = 'picture'"""
-)
-def q40b_captions_neighbours_whole(spark, sf):
-    return markdown.picture_captions(derived(spark, sf, _BLOCKS_WHOLE), ["doc"])
-
-
-_BODY = """SELECT doc_id AS doc, concat('[TABLE 1]', chr(10), substring(text, 1, 40), chr(10), '\\[FIGURE 2] and [TABLE 1]', CASE WHEN doc_id % 2 = 0 THEN ' [HAND 9]' ELSE '' END) AS body FROM {documents}"""
+_BODY = """SELECT doc_id AS doc, concat('[TABLE 1]', chr(10), text, chr(10), '\\[FIGURE 2] and [TABLE 1]', CASE WHEN doc_id % 2 = 0 THEN ' [HAND 9]' ELSE '' END) AS body FROM {documents}"""
 _PARTS = """SELECT doc_id AS doc, 'TABLE 1' AS k, 1 AS ord, concat('<t', doc_id, '>') AS text FROM {documents} UNION ALL SELECT doc_id, 'FIGURE 2', 2, '<fig>' FROM {documents} WHERE doc_id % 3 = 0
   UNION ALL SELECT doc_id, 'TABLE 7', 3, '<late>' FROM {documents} WHERE doc_id % 5 = 0"""
 
 
 @query(
-    """SELECT doc_id AS doc, trim(regexp_replace('<t' || doc_id || '>' || chr(10) || substring(text, 1, 40) || chr(10) || CASE WHEN doc_id % 3 = 0 THEN '<fig>' ELSE '' END || ' and ' || CASE WHEN doc_id % 2 = 0 THEN ' ' ELSE '' END
+    """SELECT doc_id AS doc, trim(regexp_replace('<t' || doc_id || '>' || chr(10) || text || chr(10) || CASE WHEN doc_id % 3 = 0 THEN '<fig>' ELSE '' END || ' and ' || CASE WHEN doc_id % 2 = 0 THEN ' ' ELSE '' END
     || CASE WHEN doc_id % 5 = 0 THEN chr(10) || chr(10) || '<late>' ELSE '' END, '\\n{3,}', chr(10) || chr(10), 'g')) AS md FROM {documents}"""
 )
 def q41_marker_merge(spark, sf):
@@ -655,38 +629,18 @@ def q41_marker_merge(spark, sf):
     return markdown.merge_markers(body, derived(spark, sf, _PARTS).withColumnRenamed("k", "key"))
 
 
-@query(ORACLE_SQL["q41_marker_merge"].replace("substring(text, 1, 40)", "text"))
-def q41b_marker_merge_whole(spark, sf):
-    """The same splice over whole texts."""
-    body = derived(spark, sf, _BODY.replace("substring(text, 1, 40)", "text").replace("'\\[FIGURE", "'[FIGURE"))
-    return markdown.merge_markers(body, derived(spark, sf, _PARTS).withColumnRenamed("k", "key"))
-
-
 _LINKED = """SELECT conv_id AS doc, role, concat('intro', chr(10), CASE WHEN conv_id % 2 = 0 THEN '| x |' ELSE 'x' END, chr(10), CASE WHEN conv_id % 2 = 0 THEN '| ' ELSE '' END, '![a', turn, '](m/img-', turn % 3, '.png) ![b](m/img-', turn % 3, '.png)',
-  chr(10), '![c](http://e.x/y.png) ![d](<m/my pic.jpg>)') AS md, turn FROM {conversations} WHERE turn = 1 OR turn = 4"""
+  chr(10), '![c](http://e.x/y.png) ![d](<m/my pic.jpg>)') AS md, turn FROM {conversations}"""
 
 
 @query(
-    f"""SELECT doc, pos, anchor, stem, alt FROM (SELECT doc * 10 + turn AS doc, 2 AS pos, CASE WHEN doc % 2 = 0 THEN 1 ELSE 2 END AS anchor, 'img-' || turn % 3 AS stem, 'a' || turn AS alt FROM ({_LINKED})
-  UNION ALL SELECT doc * 10 + turn, 3, 3, 'my pic', 'd' FROM ({_LINKED})) WHERE NOT (doc % 7 = 0 AND stem = 'my pic')"""
+    f"""SELECT conv_id, turn, pos, anchor, stem, alt FROM (SELECT doc AS conv_id, turn, 2 AS pos, CASE WHEN doc % 2 = 0 THEN 1 ELSE 2 END AS anchor, 'img-' || turn % 3 AS stem, 'a' || turn AS alt FROM ({_LINKED})
+  UNION ALL SELECT doc, turn, 3, 3, 'my pic', 'd' FROM ({_LINKED})) WHERE NOT ((conv_id + turn) % 7 = 0 AND stem = 'my pic')"""
 )
 def q42_enrich_first_link(spark, sf):
-    docs = derived(spark, sf, _LINKED).select((F.col("doc") * 10 + F.col("turn")).alias("doc"), "md")
-    done = docs.filter("doc % 7 = 0").select("doc", F.lit("my pic").alias("stem"))
-    return markdown.to_describe(docs, done).select("doc", "pos", "anchor", "stem", "alt")
-
-
-_ALL_LINKED = _LINKED.removesuffix(" WHERE turn = 1 OR turn = 4")
-
-
-@query(
-    f"""SELECT conv_id, turn, pos, anchor, stem, alt FROM (SELECT doc AS conv_id, turn, 2 AS pos, CASE WHEN doc % 2 = 0 THEN 1 ELSE 2 END AS anchor, 'img-' || turn % 3 AS stem, 'a' || turn AS alt FROM ({_ALL_LINKED})
-  UNION ALL SELECT doc, turn, 3, 3, 'my pic', 'd' FROM ({_ALL_LINKED})) WHERE NOT ((conv_id + turn) % 7 = 0 AND stem = 'my pic')"""
-)
-def q42b_enrich_first_link_whole(spark, sf):
     """Links of every turn, by conversation and turn."""
     key = F.struct(F.col("doc").alias("conv_id"), "turn").alias("doc")
-    docs = derived(spark, sf, _ALL_LINKED).select(key, "md")
+    docs = derived(spark, sf, _LINKED).select(key, "md")
     done = docs.filter("(doc.conv_id + doc.turn) % 7 = 0").select("doc", F.lit("my pic").alias("stem"))
     return markdown.to_describe(docs, done).select("doc.conv_id", "doc.turn", "pos", "anchor", "stem", "alt")
 
@@ -736,27 +690,15 @@ def q45_dots_parse(spark, sf):
     return _flat(d, "page", (F.col("ord") + 1).alias("id"), "role")
 
 
-_SECTIONS = """SELECT conv_id * 100 + turn AS id, substring(role, 1, 9) AS r, CASE turn % 4 WHEN 0 THEN concat('**Описание:** ', role, chr(10), 'Анализ: нет', chr(10), 'Анализ: second') WHEN 1 THEN concat('just ', role)
-  WHEN 2 THEN concat('x', chr(10), 'Текст с изображения: ', role, chr(10), 'more', chr(10), 'Описание: «—»') ELSE 'Описание: ' END AS answer FROM {conversations}"""
-
-
-@query(
-    f"""SELECT id, CASE id % 100 % 4 WHEN 0 THEN r WHEN 1 THEN 'just ' || r END AS description, CASE WHEN id % 100 % 4 = 2 THEN r || chr(10) || 'more' END AS text, CASE WHEN id % 100 % 4 = 0 THEN 'second' END AS analysis FROM ({_SECTIONS})"""
-)
-def q46_sections(spark, sf):
-    s = derived(spark, sf, _SECTIONS).select("id", answers.sections(F.col("answer")).alias("m"))
-    return s.select("id", *[F.col("m")[F.lit(k)].alias(n) for k, n in zip(answers.SECTIONS, ("description", "text", "analysis"))])
-
-
-_SECTIONS_WHOLE = """SELECT conv_id, turn, text AS r, CASE turn % 4 WHEN 0 THEN concat('**Описание:** ', text, chr(10), 'Анализ: нет', chr(10), 'Анализ: second') WHEN 1 THEN concat('just ', text)
+_SECTIONS = """SELECT conv_id, turn, text AS r, CASE turn % 4 WHEN 0 THEN concat('**Описание:** ', text, chr(10), 'Анализ: нет', chr(10), 'Анализ: second') WHEN 1 THEN concat('just ', text)
   WHEN 2 THEN concat('x', chr(10), 'Текст с изображения: ', text, chr(10), 'more', chr(10), 'Описание: «—»') ELSE 'Описание: ' END AS answer FROM {conversations}"""
 
 
 @query(
-    f"""SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN r WHEN 1 THEN 'just ' || r END AS description, CASE WHEN turn % 4 = 2 THEN r || chr(10) || 'more' END AS text, CASE WHEN turn % 4 = 0 THEN 'second' END AS analysis FROM ({_SECTIONS_WHOLE})"""
+    f"""SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN r WHEN 1 THEN 'just ' || r END AS description, CASE WHEN turn % 4 = 2 THEN r || chr(10) || 'more' END AS text, CASE WHEN turn % 4 = 0 THEN 'second' END AS analysis FROM ({_SECTIONS})"""
 )
-def q46b_sections_whole(spark, sf):
-    s = derived(spark, sf, _SECTIONS_WHOLE).select("conv_id", "turn", answers.sections(F.col("answer")).alias("m"))
+def q46_sections(spark, sf):
+    s = derived(spark, sf, _SECTIONS).select("conv_id", "turn", answers.sections(F.col("answer")).alias("m"))
     return s.select("conv_id", "turn", *[F.col("m")[F.lit(k)].alias(n) for k, n in zip(answers.SECTIONS, ("description", "text", "analysis"))])
 
 
@@ -795,8 +737,7 @@ _STYLES_T = """SELECT concat('n', n_nationkey) AS style_id, CASE WHEN n_nationke
   FROM chain c JOIN s ON c.at = s.style_id WHERE c.hop < 20) SELECT style_id, max_by(num_id, hop) AS num_id, max_by(ilvl, hop) AS ilvl FROM chain GROUP BY style_id"""
 )
 def q48_style_chain(spark, sf):
-    derived(spark, sf, _STYLES_T).createOrReplaceTempView("quire_styles")
-    return spark.sql(numbering.style_chain_sql("quire_styles"))
+    return numbering.style_chain(derived(spark, sf, _STYLES_T))
 
 
 @query()

@@ -63,13 +63,10 @@ PAGES = """SELECT user_id AS file, cast(row_number() over (partition by user_id
   CASE WHEN event_id % 3 = 0 THEN 'layout' ELSE 'lines' END AS zones_source, event_id % 5 = 0 AS has_table,
   value > 50 AS has_number, event_id % 4 = 0 AS has_items, event_id, cast(floor(value) as int) AS v FROM {events}"""
 
-#: Lines of documents, with section numbers put before some.
-LINES = """SELECT doc, pos, CASE pos % 4 WHEN 1 THEN concat(1 + pos % 3, ' ', head) WHEN 2 THEN concat(1 + pos % 3, '.', 1 + pos % 2, ' ', head)
-  WHEN 3 THEN concat(1 + pos % 3, '.', 1 + pos % 2, '.1 ', head) ELSE head END AS text, pos % 8 = 1 AS bold, pos % 11 = 5 AS in_list FROM (
-  SELECT doc_id AS doc, e AS pos, substring(text, e * 40 + 1, 30) AS head FROM {documents} CROSS JOIN (SELECT doc_id AS e FROM {documents} WHERE doc_id < 24) AS k
-  WHERE e * 40 < length(text)) AS x"""
-
-#: Every line of whole documents, numbered in the same way; in Spark's dialect only.
-ALL_LINES = """SELECT doc, pos, CASE pos % 4 WHEN 1 THEN concat(1 + pos % 3, ' ', head) WHEN 2 THEN concat(1 + pos % 3, '.', 1 + pos % 2, ' ', head)
-  WHEN 3 THEN concat(1 + pos % 3, '.', 1 + pos % 2, '.1 ', head) ELSE head END AS text, pos % 8 = 1 AS bold, pos % 11 = 5 AS in_list FROM (
-  SELECT doc_id AS doc, pos, head FROM {documents} LATERAL VIEW posexplode(split(text, '\\n')) AS pos, head) AS x"""
+_NUMBERED = """SELECT doc, pos, CASE pos % 4 WHEN 1 THEN concat(1 + pos % 3, ' ', head) WHEN 2 THEN concat(1 + pos % 3, '.', 1 + pos % 2, ' ', head)
+  WHEN 3 THEN concat(1 + pos % 3, '.', 1 + pos % 2, '.1 ', head) ELSE head END AS text, pos % 8 = 1 AS bold, pos % 11 = 5 AS in_list FROM ("""
+
+#: All lines of whole documents, with section numbers put before some; in Spark's dialect and in DuckDB's.
+LINES = _NUMBERED + "SELECT doc_id AS doc, pos, head FROM {documents} LATERAL VIEW posexplode(split(text, '\\n')) AS pos, head) AS x"
+LINES_DUCK = _NUMBERED + """SELECT doc_id AS doc, unnest(range(len(parts))) AS pos, unnest(parts) AS head
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)) AS x"""

@@ -121,6 +121,66 @@ def test_fusion_and_tiles_keep_page_order(spark, sf):
     assert catalog.q39c_tile_merge(spark, sf).count() > 0
 
 
+def test_fusion_by_hand(spark):
+    """Cases worked out by hand, on a page of 1000 by 1000."""
+    from quire.operators import layout
+
+    dets = [
+        # page 1: both detectors agree on a table; heron alone is not sure of one, is sure of another; dots alone stays
+        (1, 1, "table", 0.6, (100, 100, 300, 200), "heron"), (1, 2, "table", 0.9, (103, 102, 301, 199), "dots"),
+        (1, 3, "table", 0.4, (500, 100, 700, 200), "heron"), (1, 4, "table", 0.5, (500, 300, 700, 400), "heron"), (1, 5, "table", 0.1, (100, 300, 300, 400), "dots"),
+        # a ruled table takes the place of one that shares half of the smaller
+        (1, 6, "table", 0.9, (100, 600, 300, 700), "dots"),
+        # text inside a table goes; of two that are one place the surer stays, at a tie the earlier
+        (1, 7, "text", 0.9, (110, 110, 290, 150), "heron"), (1, 8, "text", 0.5, (500, 700, 700, 740), "heron"), (1, 9, "text", 0.8, (500, 700, 700, 741), "heron"),
+        # dots' text stays where less than 0.3 of it is covered
+        (1, 10, "text", 0.9, (500, 720, 700, 820), "dots"), (1, 11, "margin", 0.9, (500, 700, 700, 745), "dots"),
+        # too small for anything; a picture over 0.4 of the page; one that is free; dots' of the same place
+        (1, 12, "text", 0.9, (0, 0, 9, 9), "heron"), (2, 1, "picture", 0.9, (0, 0, 700, 600), "heron"),
+        (2, 2, "picture", 0.7, (0, 700, 200, 900), "dots"), (2, 3, "picture", 0.6, (0, 700, 200, 890), "heron"),
+        # a picture over three texts
+        (2, 4, "picture", 0.9, (700, 0, 900, 300), "heron"), (2, 5, "text", 0.9, (710, 10, 890, 50), "heron"), (2, 6, "text", 0.8, (710, 60, 890, 100), "heron"), (2, 7, "text", 0.7, (710, 110, 890, 150), "heron"),
+    ]
+    box = "struct<l:int,t:int,r:int,b:int>"
+    d = spark.createDataFrame(dets, f"page int, ord int, role string, score double, box {box}, source string")
+    k = spark.createDataFrame([(1, 1, (90, 590, 310, 710)), (3, 1, (0, 0, 50, 50))], f"page int, ord int, box {box}")
+    got = [tuple(r) for r in layout.fuse(d, k, ["page"], 1000, 1000).orderBy("page", "ord").collect()]
+    assert got == [
+        (1, 0, "table", 0.9, 102, 101, 300, 200, "heron+dots"),
+        (1, 1, "table", 0.1, 100, 300, 300, 400, "dots"),
+        (1, 2, "table", 0.5, 500, 300, 700, 400, "heron"),
+        (1, 3, "table", 1.0, 90, 590, 310, 710, "lines"),
+        (1, 4, "text", 0.8, 500, 700, 700, 741, "heron"),
+        (1, 5, "text", 0.9, 500, 720, 700, 820, "dots"),
+        (2, 0, "text", 0.9, 710, 10, 890, 50, "heron"),
+        (2, 1, "text", 0.8, 710, 60, 890, 100, "heron"),
+        (2, 2, "text", 0.7, 710, 110, 890, 150, "heron"),
+        (2, 3, "picture", 0.6, 0, 700, 200, 890, "heron"),
+        (3, 0, "table", 1.0, 0, 0, 50, 50, "lines"),
+    ]
+
+
+def test_checks_of_very_long_numbers(spark):
+    """A printed number of any length ends no job: it is compared where it fits, and unread where it does not."""
+    from pyspark.sql import functions as F
+
+    from quire.operators import waybill
+
+    form = "doc int, row int, quantity string, price string, cost string, vat_rate string, vat string, cost_with_vat string, places string, mass string"
+    rows = [
+        (1, 1, "1", "1234567890123", "1234567890123", "20%", "246913578024,60", "1481481468147.60", "1", "2"),
+        (1, 2, "1", "1234567890123", "1234567890124", None, None, "9" * 40, "1", "2"),
+        (2, 1, "9" * 22, "9" * 22, "5", "20", "1", "6", "9" * 22, "1"), (2, 2, "1 000,5", "2", "2.001,00", "bad", "0", "2001", "9" * 22, "9" * 40),
+    ]
+    items = spark.createDataFrame(rows, form)
+    assert sorted(tuple(r)[:3] for r in waybill.check_items(items).collect()) == [(1, 2, "row_cost")]
+    totals = spark.createDataFrame([(1, "2469135780247", "0", "1", "2", "4"), (2, "9" * 40, "1", "2007", "1", "1")], "doc int, cost string, vat string, cost_with_vat string, places string, mass string")
+    got = {tuple(r)[:2] for r in waybill.check_totals(items, totals).collect()}
+    assert {(1, "total_vat"), (1, "total_cost_with_vat")} <= got and (1, "total_cost") not in got and (2, "total_cost") not in got
+    fixed = waybill.accept_repairs(items.select("doc", "row", *waybill.OPERANDS), items.select("doc", "row", *waybill.OPERANDS).withColumn("round", F.lit(1)))
+    assert fixed.filter("repaired").count() == 0 and fixed.count() == 4
+
+
 def test_hint_trim(spark):
     from pyspark.sql import functions as F
 

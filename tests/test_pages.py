@@ -27,9 +27,22 @@ def test_words_and_paragraphs(spark):
     assert [r["md"] for r in out] == ["[Full](u) line of the text here ends.", "**Next par goes on to the edge** and on."]
 
 
-def test_alignment_rejects_other_text():
-    assert textlayer.aligned("quite other words", [("a", True, False, None, False)], True) is None
-    assert textlayer.rendered([("a", True, False, None), ("–", None, None, None), ("b,", True, False, None), ("c", False, True, None)]) == "**a – b**, *c*"
+def _styled(spark, text, words, label="text"):
+    el = spark.createDataFrame([(1, text, label)], "e int, text string, label string")
+    found = spark.createDataFrame([(1, i + 1, *w) for i, w in enumerate(words)], "e int, word int, text string, bold boolean, italic boolean, url string, paragraph_end boolean")
+    return [(r["part"], r["text"], r["md"], r["bold"]) for r in textlayer.styled(el, found, ["e"]).orderBy("part").collect()]
+
+
+def test_alignment_and_styles(spark):
+    a, dash, b, c = ("a", True, False, None, False), ("-", None, None, None, False), ("b,", True, False, None, False), ("c", False, True, None, False)
+    assert _styled(spark, "quite other words", [a]) == []
+    assert _styled(spark, " \t", [a]) == []
+    assert _styled(spark, "a – b, c", [a, dash, b, c]) == [(0, "a – b, c", "**a – b**, *c*", False)]
+    assert _styled(spark, "a – b,", [a, dash, b]) == [(0, "a – b,", "a – b,", True)]  # bold as a whole: no marks
+    assert _styled(spark, "a x b, c", [a, b, c]) == [(0, "a x b, c", "**a** x **b**, *c*", False)]
+    link, both = ("see", False, False, "http://x", True), ("this!", True, True, None, False)
+    assert _styled(spark, "see this!", [link, both], "title") == [(0, "see this!", "[see](http://x) ***this***!", False)]
+    assert [p[:2] for p in _styled(spark, "see this!", [link, both])] == [(0, "see"), (1, "this!")]
 
 
 def test_links(spark):

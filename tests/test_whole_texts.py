@@ -36,13 +36,13 @@ def test_headings_of_whole_texts(spark, tmp_path):
             if level is not None:
                 want.add((doc, pos, level))
     assert any(pos > 60 for doc, pos, _ in want if doc == 100)
-    got = {tuple(r) for r in catalog.q21b_heading_level_whole(spark, _documents(spark, tmp_path, list(texts.items()))).collect()}
+    got = {tuple(r) for r in catalog.q21_heading_level(spark, _documents(spark, tmp_path, list(texts.items()))).collect()}
     assert got == want
 
 
 def test_markers_late_in_a_body(spark, tmp_path):
     text = "x" * 100 + " [TABLE 1] end"
-    got = catalog.q41b_marker_merge_whole(spark, _documents(spark, tmp_path, [(30, text)])).collect()
+    got = catalog.q41_marker_merge(spark, _documents(spark, tmp_path, [(30, text)])).collect()
     assert [tuple(r) for r in got] == [(30, "<t30>\n" + "x" * 100 + "  end\n<fig> and  \n\n<late>")]
 
 
@@ -53,7 +53,7 @@ def _conversations(spark, path, rows):
 
 def test_links_of_every_turn(spark, tmp_path):
     rows = [(c, t, "user", "x") for c in (1, 2) for t in range(25)]
-    got = {tuple(r) for r in catalog.q42b_enrich_first_link_whole(spark, _conversations(spark, tmp_path, rows)).collect()}
+    got = {tuple(r) for r in catalog.q42_enrich_first_link(spark, _conversations(spark, tmp_path, rows)).collect()}
     want = {(c, t, 2, 1 if c % 2 == 0 else 2, f"img-{t % 3}", f"a{t}") for c, t, _, _ in rows}
     assert got == want | {(c, t, 3, 3, "my pic", "d") for c, t, _, _ in rows if (c + t) % 7}
 
@@ -70,13 +70,13 @@ def test_whole_texts_of_conversations(spark, tmp_path):
     long = "word " * 50 + "end"  # 253 characters
     rows = [(c, t, "assistant", f"{t} {long}") for c in (1, 2) for t in (0, 1, 2, 3, 104)]
     path = _conversations(spark, tmp_path, rows)
-    assert {tuple(r) for r in catalog.q13b_header_first_nonnull_whole(spark, path).collect()} == {(c, f"104 {long}", f"0 {long}") for c in (1, 2)}
-    got = {(r["conv_id"], r["turn"]): tuple(r)[2:] for r in catalog.q46b_sections_whole(spark, path).collect()}
+    assert {tuple(r) for r in catalog.q13_header_first_nonnull(spark, path).collect()} == {(c, f"104 {long}", f"0 {long}") for c in (1, 2)}
+    got = {(r["conv_id"], r["turn"]): tuple(r)[2:] for r in catalog.q46_sections(spark, path).collect()}
     want = {0: (f"0 {long}", None, "second"), 1: (f"just 1 {long}", None, None), 2: (None, f"2 {long}\nmore", None), 3: (None, None, None), 104: (f"104 {long}", None, "second")}
     assert got == {(c, t): want[t] for c, t, _, _ in rows}
 
 
 def test_long_text_is_no_caption_title(spark, tmp_path):
     rows = [(2, 0, "user", "a"), (2, 1, "user", "b"), (2, 2, "user", "c"), (2, 3, "user", "d" * 300), (6, 0, "user", "a"), (6, 1, "user", "b"), (6, 2, "user", "c"), (6, 3, "user", "d" * 150)]
-    got = {r["doc"]: r["alt"] for r in catalog.q40b_captions_neighbours_whole(spark, _conversations(spark, tmp_path, rows)).collect()}
+    got = {r["doc"]: r["alt"] for r in catalog.q40_captions_neighbours(spark, _conversations(spark, tmp_path, rows)).collect()}
     assert got == {2: "Рисунок 2", 6: "Рисунок 2 – plain " + "d" * 150}

@@ -255,6 +255,22 @@ def join_runs(runs: Column) -> Column:
     )
 
 
+def rich_text(runs: Column) -> Column:
+    """Runs (text, bold, italic, url) as Markdown. What all of them share is no emphasis; closing punctuation stays outside."""
+    full = F.filter(runs, lambda r: strip(r["text"]) != "")
+    all_bold, all_italic = F.forall(full, lambda r: r["bold"]), F.forall(full, lambda r: r["italic"])
+
+    def piece(r: Column) -> Column:
+        text = strip(r["text"])
+        text = F.when(r["url"].isNotNull(), F.concat(F.lit("["), text, F.lit("]("), r["url"], F.lit(")"))).otherwise(text)
+        mark = F.concat(F.when(r["bold"] & ~all_bold, "**").otherwise(""), F.when(r["italic"] & ~all_italic, "*").otherwise(""))
+        core = F.regexp_replace(text, "[.,;:!?]+$", "")
+        marked = F.concat(mark, core, mark, F.substring(text, F.length(core) + 1, F.length(text)))
+        return F.when(F.regexp_like(text, F.lit(r"[\p{L}\p{N}]")), marked).otherwise(text)
+
+    return join_runs(F.transform(full, piece))
+
+
 def unlatex(c: Column, macros: dict[str, str]) -> Column:
     """Macros of letters to the letters, longest first; a single space between letters goes, of two one stays."""
     t = F.regexp_replace(c, r"\\text\{([^{}]*)\}", "$1")

@@ -17,13 +17,21 @@ def _ordered(item: Column) -> Column:
     return F.array_sort(F.collect_list(item))
 
 
-def headings(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """Adds level: the heading level of each line (keys, pos, text, bold, in_list), or null.
+def headings(lines: DataFrame, keys: list[str], styled: bool = False) -> DataFrame:
+    """Adds level: the heading level of each line (keys, pos, text, bold, in_list), or null. If ``styled``, lines
+    have one in ``style`` too, which decides where it is set, and those that run on after their title get ``glued``.
 
     A numbered line continues the numbering if its parent's number already heads a section. Which numbers do
     depends on the lines before, so a document's numbers are folded in order; texts stay out of the fold."""
     f = T.heading_features(F.col("text"), F.col("bold"), F.col("in_list"))
     x = lines.withColumn("_sure", f["sure"]).withColumn("_number", f["number"]).withColumn("_level", f["level"])
+    if styled:
+        own, text = F.col("style"), F.col("text")
+        x = x.withColumn("_sure", F.coalesce(own, "_sure")).withColumn("_level", F.coalesce(own, "_level"))
+        x = x.withColumn("_number", F.when(own.isNotNull(), T.section_number(text)).otherwise(F.col("_number")))
+        bare = F.col("_sure").isNull() & F.col("_number").isNull() & ~F.col("in_list")
+        x = x.withColumn("glued", F.when(bare, glued_heading(text)))
+        x = x.withColumn("_level", F.coalesce(T.section_level(F.col("glued.number")), "_level")).withColumn("_number", F.coalesce("_number", "glued.number"))
     numbered = x.filter("_number IS NOT NULL").groupBy(*keys).agg(_ordered(F.struct("pos", "_number", "_sure")).alias("all"))
     state = F.struct(F.array().cast("array<string>").alias("known"), F.array().cast(f"array<{lines.schema['pos'].dataType.simpleString()}>").alias("at"))
 
@@ -35,7 +43,8 @@ def headings(lines: DataFrame, keys: list[str]) -> DataFrame:
     at = numbered.select(*keys, F.explode(F.aggregate("all", state, step, lambda s: s["at"])).alias("pos"), F.lit(True).alias("_yes"))
     out = x.join(at, [*keys, "pos"], "left")
     level = F.when(F.col("_number").isNotNull() & F.col("_yes"), F.col("_level")).otherwise(F.col("_sure"))
-    return out.withColumn("level", level).drop("_sure", "_number", "_level", "_yes")
+    out = out.withColumn("level", level).drop("_sure", "_number", "_level", "_yes")
+    return out.withColumn("glued", F.when(F.col("level").isNotNull(), F.col("glued"))) if styled else out
 
 
 def glued_heading(text: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numbers import NUMBER, with_numbers, words_to_amount
-from ..functions.text import null_text
+from ..functions.text import form_number, null_text, series
 
 # Tolerances of the checks.
 KOPECK, PER_UNIT, VAT_SLACK, MASS_SLACK = "0.011", "0.005", "0.02", "0.0011"
@@ -235,9 +235,68 @@ def pen_overlay(rows: DataFrame, strips: DataFrame) -> DataFrame:
     return out.withColumn("name", F.coalesce("pen", "name")).withColumn("by_hand", F.col("pen").isNotNull()).drop("pen")
 
 
-def coerce_item(answer: Column) -> Column:
-    """A struct of an item's fields from a model's JSON object (a string), read tolerantly."""
-    parsed = F.from_json(answer, "map<string,string>")
-    return F.struct(*[null_text(parsed[f]).alias(f) for f in ITEM_FIELDS])
+# answers of a model to records
+
+HEAD_FIELDS = (
+    "form", "series", "number", "date", "basis", "loading_point", "unloading_point", "vehicle", "trailer", "waybill", "driver",
+    "released_by", "handed_by", "accepted_by", "power_of_attorney", "seal",
+)
+PARTIES = ("shipper", "consignee", "carrier_customer")
+TOTAL_FIELDS = ("quantity", "cost", "vat", "cost_with_vat", "places", "mass", "vat_words", "cost_with_vat_words", "mass_words", "places_words")
+
+
+def _field(v: Column, name: str) -> Column:
+    return null_text(F.try_variant_get(v, f"$.{name}", "string"))
+
+
+def _is(v: Column, kind: str) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith(kind), F.lit(False))
 
 
+def _item(v: Column, page: Column) -> Column:
+    return F.struct(*[_field(v, f).alias(f) for f in ITEM_FIELDS], page.alias("page"))
+
+
+def _party(v: Column) -> Column:
+    """A text is the name; an object has the fields; all else says nothing."""
+    name = F.when(_is(v, "STRING"), null_text(F.try_variant_get(v, "$", "string"))).otherwise(_field(v, "name"))
+    unp = F.regexp_replace(_field(v, "unp"), r"(?U)\s", "")
+    return F.struct(name.alias("name"), unp.alias("unp"), _field(v, "address").alias("address"))
+
+
+def coerce_item(answer: Column, page: Column | None = None) -> Column:
+    """A struct of an item's fields from a model's JSON object (a string), read tolerantly."""
+    return _item(F.try_parse_json(answer), F.lit(None).cast("int") if page is None else page)
+
+
+def coerce_totals(answer: Column) -> Column:
+    v = F.try_parse_json(answer)
+    return F.struct(*[_field(v, f).alias(f) for f in TOTAL_FIELDS])
+
+
+def coerce_waybill(answer: Column, page: Column | None = None) -> Column:
+    """A record (``WAYBILL``) from a model's JSON object (a string): unknown keys go, numbers are texts, words for
+    nothing are null, items that are no objects go. What is no JSON object is a record without values or items."""
+    v = F.try_parse_json(answer)
+    at = F.lit(None).cast("int") if page is None else page
+    head = {f: _field(v, f) for f in HEAD_FIELDS}
+    head["series"], head["number"] = series(head["series"]), form_number(head["number"])
+    head |= {f: _party(F.try_variant_get(v, f"$.{f}", "variant")) for f in PARTIES}
+    items = F.filter(F.try_variant_get(v, "$.items", "array<variant>"), lambda x: _is(x, "OBJECT"))
+    head["items"] = F.coalesce(F.transform(items, lambda x: _item(x, at)), F.array().cast(f"array<{ITEM}>"))
+    totals = F.try_variant_get(v, "$.totals", "variant")
+    head["totals"] = F.struct(*[_field(totals, f).alias(f) for f in TOTAL_FIELDS])
+    names = [part.split(":")[0] for part in _fields_of(WAYBILL)]
+    return F.struct(*[head[n].alias(n) for n in names])
+
+
+def _fields_of(form: str) -> list[str]:
+    """The members of a struct type's text, cut at commas outside brackets."""
+    out, depth = [""], 0
+    for ch in form[len("struct<") : -1]:
+        depth += {"<": 1, ">": -1}.get(ch, 0)
+        if ch == "," and depth == 0:
+            out.append("")
+        else:
+            out[-1] += ch
+    return out

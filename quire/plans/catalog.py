@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable
+from xml.sax.saxutils import escape
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from ..functions import geometry as G
 from ..functions import numbers as N
 from ..functions import text as T
-from ..operators import answers, layout, markdown, numbering, tables, waybill
+from ..operators import answers, documents, layout, markdown, numbering, prompts, tables, waybill
 from ..sources import files
 from .inputs import BOXES, CENTS, ITEMS, LINES, LINES_DUCK, PAGES, derived, duck, money, table
 
@@ -779,3 +784,87 @@ _IMAGES = """SELECT p_partkey AS part, CASE p_partkey % 7 WHEN 0 THEN 'page-001'
 def q52_image_kind(spark, sf):
     kind = T.image_kind(F.col("stem"), F.col("suffix"), F.col("alt"), F.col("w"), F.col("h"))
     return derived(spark, sf, _IMAGES).select("part", kind.alias("kind"), T.prompt_mode(kind).alias("mode"))
+
+
+# answers and files as wholes
+
+_RAW = """SELECT o_orderkey AS doc, concat('Here: {"form": " TTN  1 ", "series": "a b.", "number": "№ 00', o_orderkey, '-7", "date": null, "extra": [1], "basis": ', o_custkey, ', "shipper": ',
+  CASE o_orderkey % 4 WHEN 0 THEN '" Firm  A "' WHEN 1 THEN '{"name": "none", "unp": "19 000 0001", "x": 1}' WHEN 2 THEN '7' ELSE 'null' END, ', "items": ',
+  CASE o_orderkey % 3 WHEN 0 THEN 'null' WHEN 1 THEN '"no list"' ELSE concat('[{"name": " x  ', o_orderkey, '", "quantity": ', o_custkey, ', "note": "-"}, "stray", {"name": "НЕТ"}]') END,
+  ', "totals": ', CASE WHEN o_orderkey % 5 = 0 THEN '"none"' ELSE concat('{"cost": "', o_custkey, ',50"}') END, '}', CASE WHEN o_orderkey % 7 = 0 THEN ']' ELSE ' ok' END) AS answer FROM {orders}"""
+
+
+@query(
+    """SELECT o_orderkey AS doc, 'TTN 1' AS form, 'АВ' AS series, '00' || o_orderkey || '7' AS number, NULL::VARCHAR AS date, o_custkey::VARCHAR AS basis, CASE WHEN o_orderkey % 4 = 0 THEN 'Firm A' END AS shipper, CASE WHEN o_orderkey % 4 = 1 THEN '190000001' END AS unp,
+  CASE WHEN o_orderkey % 3 = 2 THEN 2 ELSE 0 END AS items, CASE WHEN o_orderkey % 3 = 2 THEN 'x ' || o_orderkey END AS item, CASE WHEN o_orderkey % 3 = 2 THEN o_custkey::VARCHAR END AS quantity, NULL::VARCHAR AS second, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey || ',50' END AS cost FROM {orders}"""
+)
+def q53_waybill_coercion(spark, sf):
+    """Answers with unknown keys, numbers for texts and texts for lists, as records."""
+    w = derived(spark, sf, _RAW).select("doc", waybill.coerce_waybill(answers.first_json(F.col("answer"))).alias("w"))
+    first, second = F.get("w.items", F.lit(0)), F.get("w.items", F.lit(1))
+    return w.select(
+        "doc", "w.form", "w.series", "w.number", "w.date", "w.basis", F.col("w.shipper.name").alias("shipper"), F.col("w.shipper.unp").alias("unp"), F.size("w.items").alias("items"),
+        first["name"].alias("item"), first["quantity"].alias("quantity"), second["name"].alias("second"), F.col("w.totals.cost").alias("cost"),
+    )
+
+
+_WORD = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
+
+
+def _package(text: str) -> bytes:
+    """A word document: its first paragraph a heading by its style, a line of text a paragraph, last a table."""
+    run = lambda t: f'<w:r><w:t xml:space="preserve">{escape(t, {chr(13): "&#13;"})}</w:t></w:r>'
+    para = lambda t, style="": f"<w:p>{style}{run(t)}</w:p>"
+    row = lambda *t: "<w:tr>" + "".join(f"<w:tc>{para(x)}</w:tc>" for x in t) + "</w:tr>"
+    body = para("Document", '<w:pPr><w:pStyle w:val="H"/></w:pPr>') + "".join(map(para, text.split("\n"))) + f"<w:tbl>{row('a', 'b', 'c')}{row('1', '2', '3')}</w:tbl>"
+    styles = f'<w:styles xmlns:w="{_WORD}"><w:style w:type="paragraph" w:styleId="H"><w:name w:val="heading 2"/></w:style></w:styles>'
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("word/document.xml", f'<w:document xmlns:w="{_WORD}"><w:body>{body}</w:body></w:document>')
+        z.writestr("word/styles.xml", styles)
+    return out.getvalue()
+
+
+@F.pandas_udf(BinaryType())
+def _packages(texts: pd.Series) -> pd.Series:
+    return texts.fillna("").map(_package)
+
+
+_STRIPPED = "regexp_replace(x, '^[\\s\\x{00A0}]+|[\\s\\x{00A0}]+$', '', 'g')"
+
+
+@query(
+    f"""SELECT doc, format, CASE format WHEN 'txt' THEN CASE WHEN len(p) = 0 THEN '' ELSE array_to_string(p, chr(10) || chr(10)) || chr(10) END
+    WHEN 'docx' THEN array_to_string(['## Document'] || w || ['| a | b | c |' || chr(10) || '|---|---|---|' || chr(10) || '| 1 | 2 | 3 |'], chr(10) || chr(10)) || chr(10) END AS md,
+  CASE format WHEN 'pdf' THEN 'outside input needed: pdf' WHEN 'docm' THEN 'unreadable document' END AS error FROM (SELECT doc_id AS doc, CASE doc_id % 9 WHEN 0 THEN 'pdf' WHEN 1 THEN 'docm' ELSE CASE WHEN doc_id % 2 = 0 THEN 'docx' ELSE 'txt' END END AS format,
+    list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '\\n[ \\t]*\\n'), lambda x: {_STRIPPED}), lambda x: x <> '') AS p,
+    list_filter(list_transform(string_split(text, chr(10)), lambda x: {_STRIPPED}), lambda x: x <> '') AS w FROM {{documents}})"""
+)
+def q54_parse_documents(spark, sf):
+    """Documents as files of several formats, from bytes to Markdown."""
+    d, text = table(spark, sf, "documents"), F.col("text")
+    n = F.col("doc_id")
+    kind = F.when(n % 9 == 0, "pdf").when(n % 9 == 1, "docm").when(n % 2 == 0, "docx").otherwise("txt")
+    content = F.when(kind == "docx", _packages(F.when(kind == "docx", text))).otherwise(F.encode(text, "UTF-8"))
+    f = d.select(F.concat(F.lit("in/"), n.cast("string"), F.lit("."), kind).alias("path"), content.alias("content"))
+    doc = F.regexp_extract("path", r"(\d+)\.", 1).cast("long").alias("doc")
+    return documents.parse(f).select(doc, "format", F.col("markdown").alias("md"), "error")
+
+
+@query(
+    """SELECT doc_id AS doc, 'На картинке из документа ' || CASE doc_id % 3 WHEN 0 THEN 'схема' WHEN 1 THEN 'логотип' ELSE 'изображение' END || '.' || CASE WHEN doc_id % 2 = 0 THEN ' Подпись: «' || source || '».' ELSE '' END || chr(10) || 'Ответь разделами:' || chr(10) || 'Описание: …'
+    || CASE WHEN doc_id % 3 = 1 THEN '' ELSE chr(10) || 'Текст с изображения: …' || chr(10) || 'Анализ: …' END AS image,
+  'Скан страницы ' || doc_id || '.' || chr(10) || CASE WHEN doc_id % 3 = 0 THEN 'Перепиши все подписи схемы.' ELSE 'Перепиши страницу в Markdown, по порядку чтения.' END || CASE WHEN doc_id % 4 = 0 THEN chr(10) || 'Это полоса 1 из 2; обрезанные строки не дописывай.' ELSE '' END
+    || CASE WHEN doc_id % 5 = 0 THEN chr(10) || 'Метки [FIGURE k], [TABLE k] и [HAND k] перепиши как есть, отдельной строкой.' ELSE '' END || chr(10) || 'Ответь разделами:' || chr(10) || 'Описание: …' || chr(10) || 'Текст с изображения: …' || chr(10) || 'Анализ: …' AS page,
+  CASE WHEN doc_id % 6 < 3 THEN '' ELSE chr(10) || 'По линиям бланка столбцов: ' || doc_id % 6 || '. Пустая клетка остаётся пустой.' END AS grid,
+  'Read' || CASE WHEN regexp_matches(text, '[^\\s\\x{00A0}]') THEN chr(10) || 'Подсказка; при расхождении верна картинка.' || chr(10) || '<<<' || chr(10) || substring(text, 1, 6000) || chr(10) || '>>>' ELSE '' END AS layer FROM {documents}"""
+)
+def q55_prompts(spark, sf):
+    """Prompts of pictures, pages, grids and text layers; the limit of the layer is the model's."""
+    d, n = table(spark, sf, "documents"), F.col("doc_id")
+    kind = F.when(n % 3 == 0, "diagram").when(n % 3 == 1, "logo").otherwise("other")
+    part = F.when(n % 4 == 0, 1)
+    return d.select(
+        n.alias("doc"), prompts.image_prompt(T.prompt_mode(kind), kind, F.when(n % 2 == 0, F.col("source")).otherwise("")).alias("image"),
+        prompts.page_prompt(kind, n, n % 5 == 0, part, F.lit(2)).alias("page"), prompts.grid_hint(n % 6).alias("grid"), prompts.with_text_layer(F.lit("Read"), F.col("text")).alias("layer"),
+    )

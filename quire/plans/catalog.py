@@ -868,3 +868,66 @@ def q55_prompts(spark, sf):
         n.alias("doc"), prompts.image_prompt(T.prompt_mode(kind), kind, F.when(n % 2 == 0, F.col("source")).otherwise("")).alias("image"),
         prompts.page_prompt(kind, n, n % 5 == 0, part, F.lit(2)).alias("page"), prompts.grid_hint(n % 6).alias("grid"), prompts.with_text_layer(F.lit("Read"), F.col("text")).alias("layer"),
     )
+
+
+_SCANS = "SELECT conv_id AS doc, turn AS page, turn % 3 = 1 AS scanned, text AS md, CASE WHEN conv_id % 2 = 0 THEN concat('# h', chr(10), text) ELSE text END AS body, conv_id % 5 > 0 AS was_read FROM {conversations}"
+
+
+@query(
+    f"""SELECT doc, string_agg(CASE WHEN NOT scanned THEN md WHEN NOT was_read THEN '<!-- page ' || page || ': not read -->' ELSE '<!-- pdf-scan:begin page="' || page || '" sha256="' || sha256(md) || '" kind="text_scan" source="a –> ''b''" -->' || chr(10) || chr(10)
+    || CASE WHEN doc % 2 = 0 THEN '' ELSE '## Page ' || page || chr(10) || chr(10) END || body || chr(10) || chr(10) || '<!-- pdf-scan:end page="' || page || '" -->' END, chr(10) || chr(10) ORDER BY page) AS md FROM ({_SCANS}) GROUP BY doc"""
+)
+def q56_scan_blocks(spark, sf):
+    """Scanned pages take what was read of them, between marks, or say that nothing was."""
+    p = derived(spark, sf, _SCANS)
+    block = markdown.scan_block(F.col("page"), F.sha2(F.col("md").cast("binary"), 256), F.lit("text_scan"), F.lit(' a  --> "b"'), F.col("body"))
+    return markdown.fill_pages(p.select("doc", "page", "md", "scanned"), p.filter("scanned AND was_read").select("doc", "page", block.alias("block")))
+
+
+@query(
+    """SELECT p_partkey AS part, p_name || ', (' || p_type || ')' AS joined, 'АБ ' || p_name || ' y' AS plain, p_partkey % 4 < 3 AS letterhead FROM {part}"""
+)
+def q57_text_rules(spark, sf):
+    """Runs joined, letter macros resolved, letterheads told from headings: of a university's, no other letters stand beside the word."""
+    name, kind = F.col("p_name"), F.col("p_type")
+    n = F.col("p_partkey") % 4
+    head = F.when(n == 0, F.concat(F.lit("Кафедра "), name)).when(n == 1, F.concat(F.lit("("), name, F.lit(")"))).when(n == 2, "«УНИВЕРСИТЕТ» № 2").otherwise(name)
+    macros = F.concat(F.lit("\\CYRA \\CYRB "), name, F.lit(" \\text{y}"))
+    return table(spark, sf, "part").select(
+        F.col("p_partkey").alias("part"), T.join_runs(F.array(name, F.lit(","), F.lit("("), F.lit(""), kind, F.lit(")"))).alias("joined"),
+        T.unlatex(macros, {"\\CYRA": "А", "\\CYRB": "Б"}).alias("plain"), T.title_block(head).alias("letterhead"),
+    )
+
+
+_PICTURES = "SELECT conv_id AS doc, turn AS pos, CASE turn % 3 WHEN 0 THEN 'image/PNG' WHEN 1 THEN 'image/jpeg' ELSE 'image/x' END AS mime, CASE WHEN turn % 4 = 2 THEN NULL ELSE text END AS content FROM {conversations}"
+
+
+@query(
+    f"""SELECT doc, pos, CASE WHEN content IS NOT NULL THEN 'm/img-' || lpad(n::VARCHAR, greatest(3, length(n::VARCHAR))::INT, '0') || CASE pos % 3 WHEN 0 THEN '.png' WHEN 1 THEN '.jpg' ELSE '.bin' END END AS link
+  FROM (SELECT *, count(content) OVER (PARTITION BY doc ORDER BY pos) AS n FROM ({_PICTURES}))"""
+)
+def q58_media_names(spark, sf):
+    return markdown.media_names(derived(spark, sf, _PICTURES), ["doc"], "m/").select("doc", "pos", "link")
+
+
+_TRIES = "SELECT cast(floor(event_id / 3) as bigint) AS id, event_id % 3 AS attempt, CASE WHEN event_id % 4 = 0 THEN 'none' ELSE concat('```json', chr(10), props, '```') END AS answer, event_id % 5 = 0 AS from_cache, event_id, props FROM {events}"
+
+
+@query(f"SELECT id, min_by(props::VARCHAR, attempt) FILTER (event_id % 4 <> 0) AS json, count(*) FILTER (NOT from_cache) AS calls FROM ({_TRIES}) GROUP BY id")
+def q59_attempts(spark, sf):
+    return answers.attempts(derived(spark, sf, _TRIES), ["id"])
+
+
+@query(
+    f"""SELECT page, id, greatest(0, trunc(l - 2.5)::INT) AS l, greatest(0, trunc(t - 2.5)::INT) AS t, least(800, trunc(r + 3.0)::INT) AS r, least(700, trunc(b + 3.0)::INT) AS b, CASE WHEN score = 0 THEN 300 ELSE least(450, greatest(300, score * 60)) END AS render,
+  round(CASE WHEN score * 20 > 96 THEN score * 20 ELSE greatest(score * 20, least(r, b) / {210 / 25.4!r}::DOUBLE) END, 4)::DOUBLE AS frame, greatest(28, round_even(r * least(1.0::DOUBLE, 1000::DOUBLE / greatest(r, b)) / 28, 0) * 28)::INT AS sent FROM ({BOXES})"""
+)
+def q60_pixel_rules(spark, sf):
+    """Crops in whole pixels, resolutions, sides as sent."""
+    x = _boxes(spark, sf)
+    r, b, score = F.col("box.r"), F.col("box.b"), F.col("score")
+    x = x.select(
+        "page", "id", G.clamped(F.col("box"), F.lit(800), F.lit(700), 2.5).alias("box"), G.render_dpi(F.when(score > 0, score * 60)).alias("render"),
+        F.round(G.frame_dpi((score * 20).cast("double"), r, b), 4).alias("frame"), G.sent_side(r, F.greatest(r, b), 1000).alias("sent"),
+    )
+    return _flat(x, "page", "id", "render", "frame", "sent")

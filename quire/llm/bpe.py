@@ -40,13 +40,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import mix64
+from .common import leave_small, mix64
 
 #: A single space between characters that no engine counts as white space.
 _CUT = re.compile(r" (?<=\S )(?=\S)")
 MOVES, PIECE_CHARS, IN_STEP, LOOK, DECODED = 1_500_000, 48, 256, 64, 4096
-SLICE, SLICE_BYTES = 1024, 4 << 20
-PIECES_BYTES, PIECE_BYTES = 72 << 20, 180  # of both tables of pieces; of an entry besides its characters and ids
+SLICE, SLICE_BYTES = 1024, 1 << 20
+PIECES_BYTES, PIECE_BYTES = 48 << 20, 180  # of both tables of pieces; of an entry besides its characters and ids
 _BITS = 24  # of a token's number
 _TOKEN = (1 << _BITS) - 1
 
@@ -330,6 +330,10 @@ class Codec:
         self.transducer = Transducer(load_ranks(path))
         self.find = regex.compile(pattern).findall
         self.token = self.transducer.bytes_of
+        self.forget()
+
+    def forget(self) -> None:
+        """Begins both tables of pieces anew."""
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.used = 0
@@ -427,10 +431,11 @@ def encoded(documents: DataFrame, vocabulary: str | None = None, pattern: str |
                 if keep_ids:
                     columns["ids"] = pa.array(ids, pa.binary())
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+        c.forget()  # the worker outlives the task, and idle ones add up
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     form = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
-    return documents.select("doc_id", "text").mapInArrow(run, form)
+    return documents.select("doc_id", "text").mapInArrow(leave_small(run), form)
 
 
 def decoded(tokens: DataFrame, vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:

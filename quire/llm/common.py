@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from sys import getsizeof
 
@@ -103,6 +104,19 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def leave_small(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after which the worker gives what it freed back to the system: Spark keeps workers for other tasks and stages."""
+
+    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+        if trim:
+            trim(0)
+
+    return out
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads them (the finaliser of splitmix64)."""
     x = x.astype(np.uint64, copy=True)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest as _digest
 
-from .common import ENTRY_BYTES, MEMO_BYTES, as_bytes, crc_mod
+from .common import ENTRY_BYTES, MEMO_BYTES, as_bytes, crc_mod, leave_small
 
 FOLDS, THRESHOLD = 5, 0.3
 BUCKETS, DIM, MIN_N, MAX_N = 1 << 17, 8, 3, 4
@@ -207,10 +207,10 @@ def scored(documents: DataFrame, model: tuple[np.ndarray, float], keep: bool = F
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(s)], ["doc_id", "held_out", "score"])
 
     if keep:
-        return documents.mapInArrow(run, documents.schema)
+        return documents.mapInArrow(leave_small(run), documents.schema)
     out = documents.select("doc_id", "text", (crc_mod(F.col("doc_id"), FOLDS) == 0).alias("held_out"))
     kind = documents.schema["doc_id"].dataType.simpleString()
-    out = out.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double")
+    out = out.mapInArrow(leave_small(run), f"doc_id {kind}, held_out boolean, score double")
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, stored
+from .common import as_bytes, leave_small, stored
 from .components import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -69,7 +69,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return documents.select("doc_id", "text").mapInArrow(leave_small(run), f"doc_id {kind}, fp bigint")
 
 
 def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +150,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(fps: DataFrame) -> DataFrame:
     """a, b: links that connect the distinct fingerprints in column ``fp`` as all their links do."""
-    probes = fps.mapInArrow(_probes, "key int, fp bigint")
+    probes = fps.mapInArrow(leave_small(_probes), "key int, fp bigint")
     heavy = probes.groupBy("key").count().filter(F.col("count") > CELL)
     heavy = heavy.select("key", F.ceil(F.col("count") / CELL).cast("int").alias("g"))
     p = probes.join(heavy, "key", "left").withColumn("g", F.coalesce("g", F.lit(1)))
@@ -163,7 +163,7 @@ def links(fps: DataFrame) -> DataFrame:
     p = p.withColumn("_i", own).withColumn("cell", F.explode(F.when(F.col("g") == 1, one).otherwise(cells)))
     p = p.select("key", F.col("cell.ci").alias("ci"), F.col("cell.cj").alias("cj"), "fp")
     p = p.repartition("key", "ci", "cj").sortWithinPartitions("key", "ci", "cj")
-    return p.mapInArrow(_links, "a bigint, b bigint")
+    return p.mapInArrow(leave_small(_links), "a bigint, b bigint")
 
 
 def _labelled(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
